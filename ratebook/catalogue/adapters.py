@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from ratebook.functions import exprs as X
 from ratebook.operators import audit
-from ratebook.operators.keys import sized
+from ratebook.operators.keys import written_keys
 from ratebook.plans.load import Landing
 from ratebook.schemas import HISTORY
-from ratebook.scratch import new_folder, written
+from ratebook.scratch import new_folder
 from ratebook.sources import indexes, offers
 from ratebook.sources.book import PriceBook
 
@@ -327,7 +327,7 @@ def service_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         sf_dir,
         "service-targets",
-        lambda path: written(_service_targets(spark, sf_dir), path),
+        lambda path: written_keys(_service_targets(spark, sf_dir), path).frame,
     )
 
 
@@ -528,7 +528,7 @@ def plan_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         sf_dir,
         "plan-targets",
-        lambda path: written(_plan_targets(spark, sf_dir), path),
+        lambda path: written_keys(_plan_targets(spark, sf_dir), path).frame,
     )
 
 
@@ -793,7 +793,7 @@ def changed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         book = history_book(spark, sf_dir)
         rows = book.read_history(on=book.partition_dates()[0])
         pairs = rows.where(F.col("region_code").isin(*CHANGED_REGIONS))
-        return written(pairs.select("service_code", "region_code").distinct(), path)
+        return written_keys(pairs.select("service_code", "region_code").distinct(), path).frame
 
     return once(spark, sf_dir, "changed-pairs", land)
 
@@ -860,7 +860,7 @@ def landing(spark: SparkSession, sf_dir: str) -> Landing:
 
 def _versioned(bodies: DataFrame, newest: DataFrame, path: str) -> str:
     """Land bodies under the url of the version on offer for their pair."""
-    moved = bodies.join(sized(written(newest, f"{path}-urls")), "offer_url").select(
+    moved = bodies.join(written_keys(newest, f"{path}-urls").frame, "offer_url").select(
         F.col("current_url").alias("offer_url"), "slice", "body"
     )
     return _land(moved, path, layout="lines", gzip=False)

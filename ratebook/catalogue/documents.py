@@ -149,10 +149,8 @@ def flatten_all_offers(spark, sf_dir):
     FROM sales WHERE o_orderkey % 19 <> 0"""
 )
 def base_row_projection(spark, sf_dir):
-    documents = A.service_documents(spark, sf_dir)
-    skus = flatten.with_products(
-        flatten.service_terms(documents), flatten.service_products(documents)
-    )
+    entries = flatten.service_entries(A.service_documents(spark, sf_dir))
+    skus = flatten.with_products(entries)
     base = flatten.base_columns(A.RUN_DATE, A.NOW)
     rows = skus.select(*[c.alias(n) for n, c in base.items()], "term_type", "slice")
     return rows.select(
@@ -181,11 +179,8 @@ def base_row_projection(spark, sf_dir):
     FROM sales WHERE o_orderkey % 19 <> 0"""
 )
 def terms_left_join_products(spark, sf_dir):
-    documents = A.service_documents(spark, sf_dir)
-    joined = flatten.with_products(
-        flatten.service_terms(documents), flatten.service_products(documents)
-    )
-    return joined.select(
+    entries = flatten.service_entries(A.service_documents(spark, sf_dir))
+    return flatten.with_products(entries).select(
         "service_code",
         "region_code",
         "term_type",
@@ -203,11 +198,8 @@ def terms_left_join_products(spark, sf_dir):
     FROM sales WHERE {S.PLAN_SKU}"""
 )
 def plan_left_join_products(spark, sf_dir):
-    documents = A.plan_documents(spark, sf_dir)
-    joined = flatten.with_products(
-        flatten.plan_terms(documents), flatten.plan_products(documents)
-    )
-    return joined.select(
+    entries = flatten.plan_entries(A.plan_documents(spark, sf_dir))
+    return flatten.with_products(entries).select(
         "service_code",
         "region_code",
         "sku",
@@ -224,7 +216,8 @@ def plan_left_join_products(spark, sf_dir):
     FROM sales WHERE {S.PLAN_SKU} AND {S.HAS_PRODUCT}"""
 )
 def plan_products_index(spark, sf_dir):
-    return flatten.plan_products(A.plan_documents(spark, sf_dir)).select(
+    entries = flatten.plan_entries(A.plan_documents(spark, sf_dir))
+    return flatten.products_index(entries).select(
         "offer_url",
         F.col("slice").cast("bigint").alias("slice"),
         "sku",
@@ -240,7 +233,8 @@ def plan_products_index(spark, sf_dir):
     FROM sales WHERE {S.PLAN_SKU}"""
 )
 def filter_plan_without_sku(spark, sf_dir):
-    return flatten.plan_terms(A.plan_documents(spark, sf_dir)).select(
+    entries = flatten.plan_entries(A.plan_documents(spark, sf_dir))
+    return entries.where(F.col("priced").isNotNull()).select(
         "service_code", "region_code", "sku", F.col("slice").cast("bigint").alias("slice")
     )
 

@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratebook import schemas
 from ratebook.functions import exprs as X
 
-# One product, one plan or one sku's terms is identified within a slice: products
-# are looked up there, so a join key never gathers more than a slice holds.
-DOCUMENT = ("offer_url", "slice")
-SKU = (*DOCUMENT, "sku")
+# A product or the prices of a sku are identified within a slice of a document, so
+# no key gathers more than a slice holds.  The sku comes first: it is what tells rows
+# apart in a sort, urls share a long prefix.
+SKU = ("sku", "slice", "offer_url")
 
 _CONTEXT = (
-    *DOCUMENT,
+    "offer_url",
+    "slice",
     "service_code",
     "region_code",
     "offer_type",
@@ -26,83 +27,140 @@ _CONTEXT = (
 )
 
 
-def _last_per_sku(products: DataFrame) -> DataFrame:
-    """A sku listed twice: the later entry counts."""
-    return products.groupBy(*SKU).agg(
-        F.max_by("product", "pos").alias("product"),
-    )
+def _null_like(documents: DataFrame, column: str) -> Column:
+    return F.lit(None).cast(documents.select(column).schema[0].dataType)
 
 
-def _product_columns(products: DataFrame) -> DataFrame:
-    return products.select(
-        *SKU,
-        F.col("product.productFamily").alias("product_family"),
-        X.json_or_null(F.col("product.attributes")).alias("attributes"),
-    ).withColumn("service_name", X.service_name(F.col("attributes")))
-
+def service_entries(
+    documents: DataFrame, *, include_reserved: bool = True
+) -> DataFrame:
+    """One row per product, and one per (bucket, sku) with that sku's map of terms.
 
-def service_products(documents: DataFrame) -> DataFrame:
-    """One row per (document, sku) of a service document's product map."""
-    entries = documents.select(
-        *DOCUMENT, F.posexplode("products").alias("pos", "sku", "product")
+    Both come out of a single pass over the documents: (sku, pos, product) are set
+    on a product's row, (sku, term_type, priced) on a row of terms.
+    """
+    buckets = ("OnDemand", "Reserved") if include_reserved else ("OnDemand",)
+    no_products = _null_like(documents, "products")
+    no_terms = _null_like(documents, "terms.OnDemand")
+    parts = [
+        F.struct(
+            F.lit(None).cast("string").alias("term_type"),
+            F.col("products"),
+            no_terms.alias("terms"),
+        ),
+        *[
+            F.struct(
+                F.lit(bucket).alias("term_type"),
+                no_products.alias("products"),
+                F.col(f"terms.{bucket}").alias("terms"),
+            )
+            for bucket in buckets
+        ],
+    ]
+    return (
+        documents.select(*_CONTEXT, F.inline(F.array(*parts)))
+        .select(
+            *_CONTEXT,
+            "term_type",
+            "terms",
+            F.posexplode_outer("products").alias("pos", "product_sku", "product"),
+        )
+        .select("*", F.explode_outer("terms").alias("term_sku", "priced"))
+        .withColumn("sku", F.coalesce("product_sku", "term_sku"))
+        .where(F.col("sku").isNotNull())
+        .drop("terms", "product_sku", "term_sku")
     )
-    return _product_columns(_last_per_sku(entries))
 
 
-def plan_products(documents: DataFrame) -> DataFrame:
-    """The same for plan documents, whose products are a list or a map."""
+def plan_entries(documents: DataFrame) -> DataFrame:
+    """The same for plan documents: products (a list in some documents, a map in
+    others) and the plans that have a sku."""
     is_list = F.ltrim("products").startswith("[")
-    listed = (
-        documents.where(is_list)
+    listed = F.from_json(F.when(is_list, F.col("products")), schemas.PLAN_PRODUCT_LIST)
+    named = F.from_json(F.when(~is_list, F.col("products")), schemas.PLAN_PRODUCT_MAP)
+    plans = F.col("terms.savingsPlan")
+    shapes = documents.select(
+        listed.alias("listed"), named.alias("named"), plans.alias("plans")
+    )
+    nulls = {c: _null_like(shapes, c).alias(c) for c in shapes.columns}
+    parts = [
+        F.struct(*(nulls | {"listed": listed.alias("listed")}).values()),
+        F.struct(*(nulls | {"named": named.alias("named")}).values()),
+        F.struct(*(nulls | {"plans": plans.alias("plans")}).values()),
+    ]
+    product = F.coalesce(
+        F.when(
+            F.col("entry").isNotNull(), F.struct("entry.productFamily", "entry.attributes")
+        ),
+        F.col("named_product"),
+    )
+    return (
+        documents.select(*_CONTEXT, F.inline(F.array(*parts)))
         .select(
-            *DOCUMENT,
-            F.posexplode(F.from_json("products", schemas.PLAN_PRODUCT_LIST)).alias(
-                "pos", "entry"
-            ),
+            *_CONTEXT,
+            "named",
+            "plans",
+            F.posexplode_outer("listed").alias("list_pos", "entry"),
         )
-        .where(F.col("entry.sku") != "")
         .select(
-            *DOCUMENT,
-            "pos",
-            F.col("entry.sku").alias("sku"),
-            F.struct("entry.productFamily", "entry.attributes").alias("product"),
+            *_CONTEXT,
+            "plans",
+            "list_pos",
+            "entry",
+            F.posexplode_outer("named").alias("map_pos", "named_sku", "named_product"),
         )
+        .select("*", F.explode_outer("plans").alias("priced"))
+        .withColumn("pos", F.coalesce("list_pos", "map_pos"))
+        .withColumn("product", product)
+        .withColumn("sku", F.coalesce("entry.sku", "named_sku", "priced.sku"))
+        .where(F.col("sku") != "")
+        .select(*_CONTEXT, "pos", "product", "sku", "priced")
     )
-    named = documents.where(~is_list).select(
-        *DOCUMENT,
-        F.posexplode(F.from_json("products", schemas.PLAN_PRODUCT_MAP)).alias(
-            "pos", "sku", "product"
-        ),
+
+
+def _product_columns(rows: DataFrame, product: Column) -> DataFrame:
+    return (
+        rows.withColumn("found", product)
+        .withColumn("product_family", F.col("found.productFamily"))
+        .withColumn("attributes", X.json_or_null(F.col("found.attributes")))
+        .withColumn("service_name", X.service_name(F.col("attributes")))
+        .drop("found")
     )
-    return _product_columns(_last_per_sku(listed.unionByName(named)))
 
 
-def service_terms(documents: DataFrame, *, include_reserved: bool = True) -> DataFrame:
-    """One row per (document, bucket, sku) with that sku's map of terms."""
-    buckets = ("OnDemand", "Reserved") if include_reserved else ("OnDemand",)
-    per_bucket = F.array(
-        *[
-            F.struct(F.lit(b).alias("term_type"), F.col(f"terms.{b}").alias("skus"))
-            for b in buckets
-        ]
+def _last_product() -> Column:
+    """A sku listed twice: the later entry counts."""
+    return F.max_by("product", "pos")
+
+
+def products_index(entries: DataFrame) -> DataFrame:
+    """(document, sku) -> product."""
+    products = (
+        entries.where(F.col("product").isNotNull())
+        .groupBy(*SKU)
+        .agg(_last_product().alias("product"))
     )
-    return documents.select(*_CONTEXT, F.inline(per_bucket)).select(
-        "*", F.explode("skus").alias("sku", "sku_terms")
-    ).drop("skus")
+    return _product_columns(products, F.col("product")).select(
+        *SKU, "product_family", "attributes", "service_name"
+    )
+
 
+def with_products(entries: DataFrame) -> DataFrame:
+    """Left join of priced skus with products on the sku.
 
-def with_products(rows: DataFrame, products: DataFrame) -> DataFrame:
-    """Left join on the sku: a price without a product is kept, a product without
-    a price is not.  Joined while each sku is still one row, before its terms are
-    exploded."""
-    return rows.join(products, list(SKU), "left")
+    A price without a product is kept, a product without a price is not.  Both sides
+    are already rows of one frame, so the join is one shuffle of it: each sku's few
+    rows meet while its terms are still nested.
+    """
+    matched = entries.withColumn(
+        "product", _last_product().over(Window.partitionBy(*SKU))
+    ).where(F.col("priced").isNotNull())
+    return _product_columns(matched, F.col("product")).drop("pos", "product")
 
 
 def service_rates(rows: DataFrame) -> DataFrame:
     """Explode sku -> term -> price dimension."""
-    terms = rows.select("*", F.explode("sku_terms").alias("term_id", "term")).drop(
-        "sku_terms"
-    )
+    terms = rows.select("*", F.explode("priced").alias("term_id", "term")).drop("priced")
     return (
         terms.withColumn("term_attributes", X.json_or_null(F.col("term.termAttributes")))
         .withColumn("offer_term_code", F.col("term.offerTermCode"))
@@ -144,8 +202,8 @@ def flatten_service_offers(
     include_reserved: bool = True,
 ) -> DataFrame:
     """Service documents (with target columns) -> history rows."""
-    skus = service_terms(documents, include_reserved=include_reserved)
-    rates = service_rates(with_products(skus, service_products(documents)))
+    entries = service_entries(documents, include_reserved=include_reserved)
+    rates = service_rates(with_products(entries))
     prices = F.col("rate.pricePerUnit")
     columns = base_columns(run_date, ingested_at) | {
         "rate_code": X.rate_code(F.col("rate.rateCode"), F.col("term_id")),
@@ -164,30 +222,21 @@ def flatten_service_offers(
     return _history_rows(rates, columns)
 
 
-def plan_terms(documents: DataFrame) -> DataFrame:
-    """One row per plan that has a sku."""
-    return (
-        documents.select(*_CONTEXT, F.explode("terms.savingsPlan").alias("plan"))
-        .where(F.col("plan.sku") != "")
-        .withColumn("sku", F.col("plan.sku"))
-    )
-
-
 def plan_rates(rows: DataFrame) -> DataFrame:
     """Explode plan -> rate."""
     return (
         rows.withColumn(
             "term_attributes",
             X.plan_term_attributes(
-                F.col("plan.leaseContractLength"),
-                F.col("plan.description"),
-                F.col("plan.effectiveDate"),
+                F.col("priced.leaseContractLength"),
+                F.col("priced.description"),
+                F.col("priced.effectiveDate"),
             ),
         )
-        .withColumn("effective_date", X.effective_date(F.col("plan.effectiveDate")))
-        .withColumn("plan_description", F.col("plan.description"))
-        .select("*", F.explode("plan.rates").alias("rate"))
-        .drop("plan")
+        .withColumn("effective_date", X.effective_date(F.col("priced.effectiveDate")))
+        .withColumn("plan_description", F.col("priced.description"))
+        .select("*", F.explode("priced.rates").alias("rate"))
+        .drop("priced")
     )
 
 
@@ -195,7 +244,7 @@ def flatten_plan_offers(
     documents: DataFrame, *, run_date: date, ingested_at: datetime
 ) -> DataFrame:
     """Plan documents (with target columns) -> history rows."""
-    rates = plan_rates(with_products(plan_terms(documents), plan_products(documents)))
+    rates = plan_rates(with_products(plan_entries(documents)))
     price = F.col("rate.discountedRate.price")
     columns = base_columns(run_date, ingested_at) | {
         "rate_code": F.col("rate.rateCode"),

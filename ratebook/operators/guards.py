@@ -10,8 +10,8 @@ class LoadRefused(RuntimeError):
     """The load would leave the live table without data."""
 
 
-def require_targets(targets: DataFrame) -> None:
-    if targets.isEmpty():
+def require_targets(n_targets: int) -> None:
+    if not n_targets:
         raise LoadRefused("no targets discovered; the live table is left as it is")
 
 

@@ -1,41 +1,49 @@
-"""Filtering a large table by a set of keys."""
+"""Key sets: small frames that large tables are filtered by or joined with."""
 
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ratebook.scratch import read_written
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 64
 
 
-def key_bytes(keys: DataFrame) -> int:
-    """Measured in-memory size of a frame of string keys."""
-    widths = [
-        F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(_ROW_OVERHEAD)
-        for c in keys.columns
-    ]
-    total = keys.agg(F.sum(reduce(lambda a, b: a + b, widths))).first()[0]
-    return total or 0
+class Keys(NamedTuple):
+    frame: DataFrame
+    rows: int
 
 
-def sized(keys: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """`keys` with a broadcast hint when their measured size allows one.
+def written_keys(keys: DataFrame, path: str, limit: int = BROADCAST_BYTES) -> Keys:
+    """Write a frame of string columns and measure it on the way.
 
-    Beyond the limit the join shuffles both sides and AQE splits the partitions of
-    hot keys, so no size is ever assumed.  Pass keys that are read from files: they
-    are scanned once to be measured.
+    The frame read back carries a broadcast hint when its rows fit the limit in
+    memory.  Beyond it a join shuffles both sides and AQE splits the partitions of
+    hot keys, so no size is ever assumed.
     """
-    return F.broadcast(keys) if key_bytes(keys) <= limit else keys
+    widths = [
+        F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(_ROW_OVERHEAD)
+        for c in keys.columns
+    ]
+    seen = Observation()
+    keys.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(reduce(lambda a, b: a + b, widths)), F.lit(0)).alias("bytes"),
+    ).write.parquet(path)
+    frame = read_written(keys, path)
+    small = seen.get["bytes"] <= limit
+    return Keys(F.broadcast(frame) if small else frame, seen.get["rows"])
 
 
-def in_keys(rows: DataFrame, keys: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    return rows.join(sized(keys, limit), keys.columns, "left_semi")
+def in_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    return rows.join(keys, keys.columns, "left_semi")
 
 
-def not_in_keys(
-    rows: DataFrame, keys: DataFrame, limit: int = BROADCAST_BYTES
-) -> DataFrame:
-    return rows.join(sized(keys, limit), keys.columns, "left_anti")
+def not_in_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    return rows.join(keys, keys.columns, "left_anti")

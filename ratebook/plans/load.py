@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ratebook import schemas
 from ratebook.operators import audit, compose, diff, flatten, guards, upsert
 from ratebook.operators.discover import discover_targets
+from ratebook.operators.keys import written_keys
 from ratebook.scratch import written
 from ratebook.sources import offers
 from ratebook.sources.book import PriceBook
@@ -126,7 +127,7 @@ def _load(
 ) -> tuple[int, int, int]:
     spark = book.spark
     work = book.folder("work")
-    targets = written(
+    targets, n_targets = written_keys(
         discover_targets(
             spark,
             landing.master_index,
@@ -137,14 +138,13 @@ def _load(
         ),
         f"{work}/targets",
     )
-    guards.require_targets(targets)
+    guards.require_targets(n_targets)
 
     known = diff.known_versions(book.read_versions())
     if force:
         known = diff.no_known_versions(book.read_versions())
-    changed = written(diff.changed(targets, known), f"{work}/changed")
-    n_changed = changed.count()
-    n_skipped = targets.count() - n_changed
+    changed, n_changed = written_keys(diff.changed(targets, known), f"{work}/changed")
+    n_skipped = n_targets - n_changed
 
     today = book.partition_has_data(run_date)
     previous = book.latest_previous_partition(run_date)
@@ -160,33 +160,40 @@ def _load(
     # The day's content is written once; what was loaded is then counted from its
     # files, a scan of a few dictionary-encoded columns.
     pairs = diff.changed_pairs(changed)
-    fresh = fresh_rows(
-        spark,
-        landing,
-        changed,
-        run_date=run_date,
-        ingested_at=now,
-        include_plans=include_plans,
-        include_reserved=include_reserved,
-    )
+    fresh = None
+    if n_changed:
+        fresh = fresh_rows(
+            spark,
+            landing,
+            changed,
+            run_date=run_date,
+            ingested_at=now,
+            include_plans=include_plans,
+            include_reserved=include_reserved,
+        )
     folder = book.write_rows(compose.compose(base, fresh, pairs, run_date))
-    loaded = compose.pairs_in_changed(book.written_rows(folder), pairs)
-    summary = written(
-        loaded.groupBy(
-            *schemas.TARGET_KEY, "publication_date", "ingested_at", "source_url"
-        ).agg(F.count(F.lit(1)).alias("rows_loaded")),
-        f"{work}/summary",
-    )
-    n_rows = summary.agg(F.coalesce(F.sum("rows_loaded"), F.lit(0))).first()[0]
+    n_rows, versions = 0, None
     if n_changed:
+        loaded = compose.pairs_in_changed(book.written_rows(folder), pairs)
+        summary = written(
+            loaded.groupBy(
+                *schemas.TARGET_KEY, "publication_date", "ingested_at", "source_url"
+            ).agg(F.count(F.lit(1)).alias("rows_loaded")),
+            f"{work}/summary",
+        )
+        n_rows = summary.agg(F.coalesce(F.sum("rows_loaded"), F.lit(0))).first()[0]
         guards.require_some_data(n_rows, today, previous is not None)
+        merged = upsert.merge_versions(
+            book.read_versions(), upsert.versions_from_history(summary)
+        )
+        versions = upsert.upsert_empty_targets(
+            merged,
+            flatten.empty_targets(changed, summary),
+            F.lit(now).cast("timestamp"),
+        )
 
     book.publish({run_date: folder})
-    versions = book.read_versions()
-    if n_rows:
-        versions = upsert.merge_versions(versions, upsert.versions_from_history(summary))
-    empty = flatten.empty_targets(changed, summary)
-    versions = upsert.upsert_empty_targets(versions, empty, F.lit(now).cast("timestamp"))
-    book.replace_versions(versions)
+    if versions is not None:
+        book.replace_versions(versions)
     book.swap_live(run_date)
     return n_rows, n_changed, n_skipped

@@ -41,4 +41,8 @@ def written(df: DataFrame, path: str) -> DataFrame:
     the data for its join choice.
     """
     df.write.parquet(path)
+    return read_written(df, path)
+
+
+def read_written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratebook import schemas
-from ratebook.operators.keys import sized
 
 BUCKETS = ("OnDemand", "Reserved")  # fixed values
 
@@ -61,16 +60,17 @@ def read_offer_headers(
 def of_targets(documents: DataFrame, targets: DataFrame) -> DataFrame:
     """Documents of the given targets, with the target's own columns.
 
-    `targets` is a written table.  When its measured size allows, it is broadcast and
-    the documents are not shuffled; `offer_url` is their partition column, so only
-    the folders of these targets are opened (dynamic partition pruning).
+    With targets from `written_keys` the documents are not shuffled.  `offer_url` is
+    their partition column, so only the folders of these targets are opened (dynamic
+    partition pruning).
     """
     wanted = (
         targets.select(*schemas.TARGET)
-        .where(F.col("offer_url") != "")
+        # Not blank, as a range: the optimizer prunes by selective predicates only.
+        .where(F.col("offer_url") > "")
         .distinct()
         .withColumnRenamed("version", "target_version")
     )
     return documents.withColumnRenamed("version", "document_version").join(
-        sized(wanted), "offer_url"
+        wanted, "offer_url"
     )
