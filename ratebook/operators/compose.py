@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,22 +41,18 @@ def clustered(rows: DataFrame) -> DataFrame:
 
 
 def compose(
-    base: DataFrame | None, fresh: DataFrame | None, pairs: DataFrame, run_date: date
+    base: DataFrame | None, fresh: DataFrame, pairs: DataFrame, run_date: date
 ) -> DataFrame:
     """Snapshot = rows carried from `base` + fresh rows.
 
     `base` is today's partition on a same-day rerun (its changed pairs are
-    replaced), the latest earlier partition on a new day, None on the first run;
-    `fresh` is None when nothing changed.  Only the fresh rows are shuffled.
+    replaced), the latest earlier partition on a new day, None on the first run.
+    Only the fresh rows are shuffled.
     """
-    parts = []
-    if base is not None:
-        parts.append(carry_forward(base, pairs, run_date))
-    if fresh is not None:
-        parts.append(clustered(fresh))
-    if not parts:
-        raise ValueError("neither carried nor fresh rows")
-    return reduce(DataFrame.unionByName, parts)
+    fresh = clustered(fresh)
+    if base is None:
+        return fresh
+    return carry_forward(base, pairs, run_date).unionByName(fresh)
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:

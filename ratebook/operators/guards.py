@@ -15,11 +15,20 @@ def require_targets(n_targets: int) -> None:
         raise LoadRefused("no targets discovered; the live table is left as it is")
 
 
+def require_landed(wanted: DataFrame, landed: DataFrame) -> None:
+    """A document on offer that was not landed fails the load: taking it for empty
+    would drop its rows and record its version."""
+    missing = wanted.join(landed, "offer_url", "left_anti")
+    example = missing.select("offer_url").first()
+    if example:
+        raise LoadRefused(f"changed documents are not landed, such as {example[0]}")
+
+
 def require_some_data(fresh_rows: int, today_has_data: bool, has_previous: bool) -> None:
     if not (fresh_rows or today_has_data or has_previous):
         raise LoadRefused(
-            "every changed document was empty and there is no earlier partition to "
-            "carry forward; refusing to create an empty live table"
+            "no document produced a row and there is no earlier partition to carry "
+            "forward; refusing to create an empty live table"
         )
 
 

@@ -151,6 +151,22 @@ def _load(
     if guards.is_noop(n_changed > 0, today, force):
         return 0, 0, n_skipped
 
+    if not n_changed:
+        # A new day without changes is the previous day's content as it stands: the
+        # date is not part of a folder, so both days can share one.
+        guards.require_some_data(0, today, previous is not None)
+        book.publish({run_date: book.partition_folder(previous)})
+        book.swap_live(run_date)
+        return 0, 0, n_skipped
+
+    for kind, root in (
+        ("service", landing.service_offers),
+        ("savings_plan", landing.plan_offers),
+    ):
+        wanted = changed.where(F.col("offer_type") == kind)
+        if include_plans or kind == "service":
+            guards.require_landed(wanted, offers.landed_urls(spark, root))
+
     base = None
     if today:
         base = book.read_history(on=run_date)
@@ -160,40 +176,33 @@ def _load(
     # The day's content is written once; what was loaded is then counted from its
     # files, a scan of a few dictionary-encoded columns.
     pairs = diff.changed_pairs(changed)
-    fresh = None
-    if n_changed:
-        fresh = fresh_rows(
-            spark,
-            landing,
-            changed,
-            run_date=run_date,
-            ingested_at=now,
-            include_plans=include_plans,
-            include_reserved=include_reserved,
-        )
+    fresh = fresh_rows(
+        spark,
+        landing,
+        changed,
+        run_date=run_date,
+        ingested_at=now,
+        include_plans=include_plans,
+        include_reserved=include_reserved,
+    )
     folder = book.write_rows(compose.compose(base, fresh, pairs, run_date))
-    n_rows, versions = 0, None
-    if n_changed:
-        loaded = compose.pairs_in_changed(book.written_rows(folder), pairs)
-        summary = written(
-            loaded.groupBy(
-                *schemas.TARGET_KEY, "publication_date", "ingested_at", "source_url"
-            ).agg(F.count(F.lit(1)).alias("rows_loaded")),
-            f"{work}/summary",
-        )
-        n_rows = summary.agg(F.coalesce(F.sum("rows_loaded"), F.lit(0))).first()[0]
-        guards.require_some_data(n_rows, today, previous is not None)
-        merged = upsert.merge_versions(
-            book.read_versions(), upsert.versions_from_history(summary)
-        )
-        versions = upsert.upsert_empty_targets(
-            merged,
-            flatten.empty_targets(changed, summary),
-            F.lit(now).cast("timestamp"),
-        )
+    loaded = compose.pairs_in_changed(book.written_rows(folder), pairs)
+    summary = written(
+        loaded.groupBy(
+            *schemas.TARGET_KEY, "publication_date", "ingested_at", "source_url"
+        ).agg(F.count(F.lit(1)).alias("rows_loaded")),
+        f"{work}/summary",
+    )
+    n_rows = summary.agg(F.coalesce(F.sum("rows_loaded"), F.lit(0))).first()[0]
+    guards.require_some_data(n_rows, today, previous is not None)
 
     book.publish({run_date: folder})
-    if versions is not None:
-        book.replace_versions(versions)
+    merged = upsert.merge_versions(
+        book.read_versions(), upsert.versions_from_history(summary)
+    )
+    empty = flatten.empty_targets(changed, summary)
+    book.replace_versions(
+        upsert.upsert_empty_targets(merged, empty, F.lit(now).cast("timestamp"))
+    )
     book.swap_live(run_date)
     return n_rows, n_changed, n_skipped

@@ -57,6 +57,14 @@ def read_offer_headers(
     return _read(spark, root, schemas.OFFER_HEADER, layout)
 
 
+def landed_urls(spark: SparkSession, root: str) -> DataFrame:
+    """Urls of the documents in a landing directory, from its listing alone."""
+    files = spark.read.format("binaryFile").load(root)
+    if "offer_url" not in files.columns:  # nothing landed yet
+        return spark.createDataFrame([], "offer_url string")
+    return files.select(F.col("offer_url").cast("string")).distinct()
+
+
 def of_targets(documents: DataFrame, targets: DataFrame) -> DataFrame:
     """Documents of the given targets, with the target's own columns.
 

@@ -107,7 +107,12 @@ def test_five_loads(spark, book, catalogue):
     # ... and is not opened again.
     assert counts(load(book, catalogue, DAY1 + timedelta(days=3))) == (0, 0, 3)
     assert live(book) == {("A", "r1"): (4, 10)}
+    # A day without changes shares the folder of the day before.
     assert book.partition_dates()[0] == date(2025, 5, 4)
+    assert book.partition_folder(date(2025, 5, 4)) == book.partition_folder(date(2025, 5, 3))
+    assert {r[0] for r in book.read_history(on=date(2025, 5, 4)).select("ingestion_date").collect()} == {
+        date(2025, 5, 4)
+    }
     assert book.read_runs().where("status = 'succeeded'").count() == 6
 
 
@@ -155,6 +160,15 @@ def test_only_shells_and_no_history_is_refused(book, catalogue):
     assert last_run(book).status == "failed" and "empty live table" in last_run(book).error
 
 
+def test_document_that_was_not_landed_is_refused(book, catalogue):
+    catalogue.offer("A", "r1", "v1", docs.priced(1))
+    load(book, catalogue, DAY1)
+    catalogue.offer("A", "r1", "v2", None)
+    with pytest.raises(LoadRefused, match="not landed.*/v2/"):
+        load(book, catalogue, DAY1 + timedelta(days=1))
+    assert live(book) == {("A", "r1"): (1, 1)} and versions(book)["A", "r1"][0] == "v1"
+
+
 def test_zero_targets_is_refused(book, catalogue):
     catalogue.offer("A", "r1", "v1", docs.priced(1))
     load(book, catalogue, DAY1)
