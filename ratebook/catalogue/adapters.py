@@ -37,6 +37,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Size of all tables, from the directory listing."""
+
+    def listed(_: str) -> int:
+        files = spark.read.format("binaryFile").load(f"{sf_dir}/*.parquet")
+        return files.agg(F.sum("length")).first()[0]
+
+    return once(spark, sf_dir, "table-bytes", listed)
+
+
 def once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[str], object]):
     """Result of `make(new folder)`, made once per session and input directory."""
     key = (spark.sparkContext.applicationId, sf_dir, name)

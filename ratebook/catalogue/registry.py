@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratebook.catalogue.adapters import table_bytes
 from ratebook.functions.exprs import attribute
-from ratebook.session import configure
+from ratebook.session import configure, size_shuffles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,7 +22,9 @@ def query(sql: str) -> Callable[[Query], Query]:
 
     def register(make: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return make(configure(spark), sf_dir.rstrip("/"))
+            sf_dir = sf_dir.rstrip("/")
+            size_shuffles(configure(spark), table_bytes(spark, sf_dir))
+            return make(spark, sf_dir)
 
         QUERIES[make.__name__] = run
         ORACLE[make.__name__] = sql

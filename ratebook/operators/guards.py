@@ -15,13 +15,21 @@ def require_targets(n_targets: int) -> None:
         raise LoadRefused("no targets discovered; the live table is left as it is")
 
 
-def require_landed(wanted: DataFrame, landed: DataFrame) -> None:
-    """A document on offer that was not landed fails the load: taking it for empty
-    would drop its rows and record its version."""
-    missing = wanted.join(landed, "offer_url", "left_anti")
-    example = missing.select("offer_url").first()
-    if example:
-        raise LoadRefused(f"changed documents are not landed, such as {example[0]}")
+def require_landed(wanted: DataFrame, landed: DataFrame) -> int:
+    """Bytes to read.  A document on offer that was not landed fails the load: taking
+    it for empty would drop its rows and record its version."""
+    missing, example, size = (
+        wanted.join(landed, "offer_url", "left")
+        .agg(
+            F.count_if(F.col("bytes").isNull()),
+            F.min(F.when(F.col("bytes").isNull(), F.col("offer_url"))),
+            F.coalesce(F.sum("bytes"), F.lit(0)),
+        )
+        .first()
+    )
+    if missing:
+        raise LoadRefused(f"{missing} documents are not landed, such as {example}")
+    return size
 
 
 def require_some_data(fresh_rows: int, today_has_data: bool, has_previous: bool) -> None:

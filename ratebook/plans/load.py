@@ -16,6 +16,7 @@ from ratebook.operators import audit, compose, diff, flatten, guards, upsert
 from ratebook.operators.discover import discover_targets
 from ratebook.operators.keys import written_keys
 from ratebook.scratch import written
+from ratebook.session import sized_shuffles
 from ratebook.sources import offers
 from ratebook.sources.book import PriceBook
 
@@ -159,13 +160,16 @@ def _load(
         book.swap_live(run_date)
         return 0, 0, n_skipped
 
-    for kind, root in (
-        ("service", landing.service_offers),
-        ("savings_plan", landing.plan_offers),
-    ):
-        wanted = changed.where(F.col("offer_type") == kind)
-        if include_plans or kind == "service":
-            guards.require_landed(wanted, offers.landed_urls(spark, root))
+    kinds = {"service": landing.service_offers}
+    if include_plans:
+        kinds["savings_plan"] = landing.plan_offers
+    to_read = sum(
+        guards.require_landed(
+            changed.where(F.col("offer_type") == kind),
+            offers.landed_documents(spark, root),
+        )
+        for kind, root in kinds.items()
+    )
 
     base = None
     if today:
@@ -185,7 +189,8 @@ def _load(
         include_plans=include_plans,
         include_reserved=include_reserved,
     )
-    folder = book.write_rows(compose.compose(base, fresh, pairs, run_date))
+    with sized_shuffles(spark, to_read):
+        folder = book.write_rows(compose.compose(base, fresh, pairs, run_date))
     loaded = compose.pairs_in_changed(book.written_rows(folder), pairs)
     summary = written(
         loaded.groupBy(

@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
+_SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+PARTITION_BYTES = 512 * 1024 * 1024
+MOST_PARTITIONS = 100_000
+
 SETTINGS = {
     # All timestamps are UTC.
     "spark.sql.session.timeZone": "UTC",
@@ -24,6 +32,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Enough shuffle partitions for the input, never fewer than the session's own.
+    AQE merges the ones that turn out small."""
+    needed = min(math.ceil(input_bytes / PARTITION_BYTES), MOST_PARTITIONS)
+    if needed > int(spark.conf.get(_SHUFFLE_PARTITIONS)):
+        spark.conf.set(_SHUFFLE_PARTITIONS, str(needed))
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """The same for the jobs of one block."""
+    before = spark.conf.get(_SHUFFLE_PARTITIONS)
+    size_shuffles(spark, input_bytes)
+    try:
+        yield
+    finally:
+        spark.conf.set(_SHUFFLE_PARTITIONS, before)
+
+
 def local_session(cores: str = "8", **extra: str) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")

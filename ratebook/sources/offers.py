@@ -57,12 +57,15 @@ def read_offer_headers(
     return _read(spark, root, schemas.OFFER_HEADER, layout)
 
 
-def landed_urls(spark: SparkSession, root: str) -> DataFrame:
-    """Urls of the documents in a landing directory, from its listing alone."""
+def landed_documents(spark: SparkSession, root: str) -> DataFrame:
+    """(offer_url, bytes) of the documents in a landing directory, from its listing
+    alone."""
     files = spark.read.format("binaryFile").load(root)
     if "offer_url" not in files.columns:  # nothing landed yet
-        return spark.createDataFrame([], "offer_url string")
-    return files.select(F.col("offer_url").cast("string")).distinct()
+        return spark.createDataFrame([], "offer_url string, bytes bigint")
+    return files.groupBy(F.col("offer_url").cast("string").alias("offer_url")).agg(
+        F.sum("length").alias("bytes")
+    )
 
 
 def of_targets(documents: DataFrame, targets: DataFrame) -> DataFrame:
