@@ -44,13 +44,15 @@ def absolute_url(spark, sf_dir):
 
 @query(
     f"""SELECT page_id, regexp_replace(
-      url || '--' || left(html, 15) || '--' || {_VERSION},
+      url || '--' || page_id || '--' || {_VERSION},
       '[^A-Za-z0-9._-]+', '_', 'g') AS object_name
     FROM pages"""
 )
 def safe_object_name(spark, sf_dir):
     name = X.safe_object_name(
-        F.col("url"), F.left("html", F.lit(15)), X.version_from_url(F.col("url"))
+        F.col("url"),
+        F.col("page_id").cast("string"),
+        X.version_from_url(F.col("url")),
     )
     return A.table(spark, sf_dir, "pages").select("page_id", name.alias("object_name"))
 

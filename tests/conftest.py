@@ -14,7 +14,9 @@ def spark(tmp_path_factory):
     session = local_session(
         "8",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
+            # Compiling code costs more than running it on a handful of rows.
+            "spark.sql.codegen.wholeStage": "false",
             "spark.sql.maxMetadataStringLength": "4000",
             "spark.checkpoint.dir": str(work / "checkpoints"),
             "spark.sql.warehouse.dir": str(work / "warehouse"),
