@@ -28,7 +28,9 @@ RUN_DATE = date(2024, 2, 1)
 NOW = datetime(2024, 2, 1, 6, 30, tzinfo=timezone.utc)
 PUBLISHED = "2024-01-15T08:30:00Z"
 # Orders per document slice at most: a slice's size is bounded whatever the skew.
-SLICE = 1 << 18
+# Slices landed as files of their own are wider, so that files do not get too many.
+SLICE = 1 << 16
+FILE_SLICE = 1 << 21
 
 _LANDED: dict[tuple[str, str, str], object] = {}
 
@@ -79,7 +81,7 @@ def _map_of(entries: Column) -> Column:
 # --- A: service documents ---------------------------------------------------
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales(spark: SparkSession, sf_dir: str, width: int = SLICE) -> DataFrame:
     """orders with their customer and nation, and the slice they fall in."""
     return (
         table(spark, sf_dir, "orders")
@@ -90,7 +92,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
             table(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
             F.col("c_nationkey") == F.col("n_nationkey"),
         )
-        .withColumn("slice", F.floor(F.col("o_orderkey") / SLICE).cast("int"))
+        .withColumn("slice", F.floor(F.col("o_orderkey") / width).cast("int"))
     )
 
 
@@ -190,7 +192,9 @@ def offer_url(service: Column, region: Column, version: Column) -> Column:
     )
 
 
-def service_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def service_bodies(
+    spark: SparkSession, sf_dir: str, width: int = SLICE
+) -> DataFrame:
     """(offer_url, slice, body): one row per document slice.
 
     One shuffle, on (service, region, slice); every nesting level groups within it,
@@ -211,7 +215,7 @@ def service_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         customer_attributes().alias("attributes"),
     )
     rates = (
-        sales(spark, sf_dir)
+        sales(spark, sf_dir, width)
         .withColumn("bucket", term_bucket())
         .withColumn("rate_id", F.concat(F.lit("R"), _text("o_orderkey")))
         .withColumn("rate", rate)
@@ -322,12 +326,13 @@ def landed_services(
     spark: SparkSession, sf_dir: str, *, layout: str = "lines", gzip: bool = False
 ) -> str:
     name = f"service-{layout}{'-gz' if gzip else ''}"
+    width = FILE_SLICE if layout == "file" else SLICE
     return once(
         spark,
         sf_dir,
         name,
         lambda path: _land(
-            service_bodies(spark, sf_dir), path, layout=layout, gzip=gzip
+            service_bodies(spark, sf_dir, width), path, layout=layout, gzip=gzip
         ),
     )
 

@@ -47,7 +47,7 @@ def flat_all(spark, sf_dir):
         THEN c_custkey END) AS on_demand_skus,
       count(DISTINCT CASE WHEN o_orderstatus = 'P' AND o_orderkey % 19 <> 0
         THEN c_custkey END) AS reserved_skus
-    FROM sales GROUP BY c_mktsegment, n_name, {S.SLICE}
+    FROM sales GROUP BY c_mktsegment, n_name, {S.FILE_SLICE}
     UNION ALL
     SELECT 'SHELL', n_name, '2024-01-15 08:30:00', 0, 0, 0 FROM nation"""
 )

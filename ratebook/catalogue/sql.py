@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 BASE = "https://prices.example.com"
-SLICE = "o_orderkey // 262144"
+SLICE = "o_orderkey // 65536"
+FILE_SLICE = "o_orderkey // 2097152"
 
 SALES = """
 sales AS (
