@@ -589,10 +589,6 @@ def index_version() -> Column:
     return F.concat(F.lit("v"), _text("newest"))
 
 
-def _json_list(members: Column) -> Column:
-    return F.concat(F.lit("["), F.array_join(F.collect_list(members), ","), F.lit("]"))
-
-
 def region_index_bodies(spark: SparkSession, sf_dir: str, *, corrupt: bool) -> DataFrame:
     """(index_path, body): one region index per service and per plan."""
     path = F.concat_ws(
@@ -763,7 +759,11 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.regexp_replace(
                 F.col("props"),
                 F.lit(r"\}$"),
-                F.concat(F.lit(', "class": "c'), (F.col("user_id") % 4).cast("string"), F.lit('"}')),
+                F.concat(
+                    F.lit(', "class": "c'),
+                    (F.col("user_id") % 4).cast("string"),
+                    F.lit('"}'),
+                ),
             )
         ),
         "price_per_unit_raw": F.create_map(F.lit(X.USD), price),

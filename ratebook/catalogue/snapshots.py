@@ -115,7 +115,7 @@ def composed(spark, sf_dir, base, run_date, source_day, pairs):
     """Compose and publish in a book of its own; the day as read back from it."""
     fresh = A.fresh_rows(spark, sf_dir, source_day, run_date)
     book = A.new_book(spark, "composed")
-    folder = book.write_rows(compose.compose(base, fresh, pairs, run_date))
+    folder = book.write_rows(compose.compose(base, fresh, pairs, run_date), run_date)
     book.publish({run_date: folder})
     return book.read_history(on=run_date)
 

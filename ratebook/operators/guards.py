@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +46,15 @@ def is_noop(any_changed: bool, today_has_data: bool, force: bool) -> bool:
     return not any_changed and today_has_data and not force
 
 
+def require_day(rows: DataFrame, day: date) -> DataFrame:
+    """Fail when a row belongs to another day's partition."""
+    own = F.col("ingestion_date")
+    other = F.raise_error(F.lit(f"a row is not dated {day}"))
+    return rows.withColumn(
+        "ingestion_date", F.when(own != F.lit(day), other).otherwise(own)
+    )
+
+
 def require_columns(rows: DataFrame, required: tuple[str, ...]) -> DataFrame:
     """Fail the job that evaluates `rows` when a required column is NULL.
 

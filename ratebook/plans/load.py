@@ -190,7 +190,9 @@ def _load(
         include_reserved=include_reserved,
     )
     with sized_shuffles(spark, to_read):
-        folder = book.write_rows(compose.compose(base, fresh, pairs, run_date))
+        folder = book.write_rows(
+            compose.compose(base, fresh, pairs, run_date), run_date
+        )
     loaded = compose.pairs_in_changed(book.written_rows(folder), pairs)
     summary = written(
         loaded.groupBy(

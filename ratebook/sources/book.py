@@ -8,7 +8,7 @@ job may read a table while it writes that table's next content.
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ratebook import schemas
 from ratebook.operators import audit
-from ratebook.operators.guards import require_columns
+from ratebook.operators.guards import require_columns, require_day
 
 
 class PriceBook:
@@ -107,10 +107,10 @@ class PriceBook:
 
     # --- writers ------------------------------------------------------------
 
-    def write_rows(self, rows: DataFrame) -> str:
+    def write_rows(self, rows: DataFrame, day: date) -> str:
         """Write one day's rows to a new folder that no table knows yet."""
         path = self.folder("history")
-        checked = require_columns(rows, schemas.REQUIRED_HISTORY)
+        checked = require_columns(require_day(rows, day), schemas.REQUIRED_HISTORY)
         checked.where(F.col("ingestion_date").isNotNull()).select(
             *[F.col(f.name).cast(f.dataType) for f in schemas.LIVE]
         ).write.parquet(path)
@@ -147,7 +147,3 @@ class PriceBook:
         require_columns(events.coalesce(1), ("run_id", "status")).select(
             *schemas.RUN_EVENTS.names
         ).write.insertInto(self.name("runs"))
-
-
-def days(first: date, last: date) -> list[date]:
-    return [first + timedelta(days=i) for i in range((last - first).days + 1)]

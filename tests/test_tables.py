@@ -54,7 +54,9 @@ def pairs(spark, rows):
 
 
 def content(rows):
-    return sorted((r.service_code, r.region_code, r.sku, float(r.price_per_unit)) for r in rows.collect())
+    return sorted(
+        (r.service_code, r.region_code, r.sku, float(r.price_per_unit)) for r in rows.collect()
+    )
 
 
 OLD = [("A", "r1", "x", 1.0), ("A", "r2", "x", 2.0), ("B", "r1", "y", 3.0)]
@@ -65,13 +67,13 @@ def test_history_needs_a_partition_filter(spark, book):
         book.read_history()
     with pytest.raises(ValueError):
         book.read_history(on=D1, between=(D1, D2))
-    book.publish({d: book.write_rows(history(spark, d, OLD)) for d in (D1, D2, D3)})
+    book.publish({d: book.write_rows(history(spark, d, OLD), d) for d in (D1, D2, D3)})
     assert book.read_history(on=D2).count() == 3
     assert book.read_history(between=(D1, D2)).count() == 6
 
 
 def test_provisioning_twice_keeps_content(spark, book):
-    book.publish({D1: book.write_rows(history(spark, D1, OLD))})
+    book.publish({D1: book.write_rows(history(spark, D1, OLD), D1)})
     book.provision()
     assert book.read_history(on=D1).count() == 3
     assert not spark.catalog.tableExists(f"{book.database}.live")
@@ -81,8 +83,8 @@ def test_latest_previous_partition_skips_empty_days(spark, book):
     assert book.latest_previous_partition(D3) is None
     book.publish(
         {
-            D1: book.write_rows(history(spark, D1, OLD)),
-            D2: book.write_rows(history(spark, D2, OLD).limit(0)),
+            D1: book.write_rows(history(spark, D1, OLD), D1),
+            D2: book.write_rows(history(spark, D2, OLD).limit(0), D2),
         }
     )
     assert book.latest_previous_partition(D3) == D1
@@ -96,17 +98,21 @@ def test_compose(spark):
     fresh = history(spark, D2, [("A", "r1", "z", 9.0)])
     base = history(spark, D1, OLD)
     composed = compose.compose(base, fresh, changed, D2)
-    assert content(composed) == [("A", "r1", "z", 9.0), ("A", "r2", "x", 2.0), ("B", "r1", "y", 3.0)]
+    assert content(composed) == [
+        ("A", "r1", "z", 9.0),
+        ("A", "r2", "x", 2.0),
+        ("B", "r1", "y", 3.0),
+    ]
     assert {r[0] for r in composed.select("ingestion_date").collect()} == {D2}
     assert content(compose.compose(None, fresh, changed, D2)) == [("A", "r1", "z", 9.0)]
     assert content(compose.compose(base, fresh.limit(0), pairs(spark, []), D2)) == OLD
 
 
 def test_live_readers_never_see_a_half_written_table(spark, book):
-    book.publish({D1: book.write_rows(history(spark, D1, OLD))})
+    book.publish({D1: book.write_rows(history(spark, D1, OLD), D1)})
     book.swap_live(D1)
     reader = book.read_live()
-    book.publish({D1: book.write_rows(history(spark, D1, OLD[:1]))})
+    book.publish({D1: book.write_rows(history(spark, D1, OLD[:1]), D1)})
     assert book.read_live().count() == 3  # published, not yet swapped
     book.swap_live(D1)
     assert book.read_live().count() == 1
@@ -120,10 +126,15 @@ def test_required_columns(spark, book, column):
         column, F.when(F.col("sku") != "y", F.col(column)).cast(kind)
     )
     with pytest.raises(Exception, match=f"required column {column} is NULL"):
-        book.write_rows(rows)
+        book.write_rows(rows, D1)
     assert book.partition_dates() == []
 
 
+def test_rows_of_another_day_are_refused(spark, book):
+    with pytest.raises(Exception, match="a row is not dated 2025-05-02"):
+        book.write_rows(history(spark, D1, OLD), D2)
+
+
 def test_large_key_set_is_joined_not_broadcast(spark):
     """Beyond the size limit the same rows come out of a shuffled join, also when
     one pair holds most of them."""
@@ -165,8 +176,8 @@ def versions(spark, rows):
         "loaded_at": F.lit(NOW),
         "source_url": F.concat(F.lit("u-"), "version"),
     }
-    return frame.select(
-        *[values.get(f.name, F.col(f.name) if f.name in frame.columns else None).cast(f.dataType).alias(f.name) for f in schemas.VERSIONS]
+    return frame.withColumns(values).select(
+        *[F.col(f.name).cast(f.dataType) for f in schemas.VERSIONS]
     )
 
 
