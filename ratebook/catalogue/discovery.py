@@ -152,6 +152,23 @@ def discover_skip_corrupt(spark, sf_dir):
     return targets(spark, sf_dir, corrupt=True)
 
 
+@query(
+    f"""SELECT DISTINCT o_orderpriority AS service_code, 'service' AS offer_type,
+      CAST(NULL AS VARCHAR) AS index_path, 'no index named' AS reason FROM orders
+    UNION ALL
+    SELECT DISTINCT c_mktsegment, 'service',
+      '/offers/v1.0/' || c_mktsegment || '/current/region_index.json', 'index not readable'
+    FROM customer WHERE c_mktsegment = '{A.CORRUPT_SERVICE}'"""
+)
+def rejected_indexes(spark, sf_dir):
+    """Services on offer whose index cannot be used."""
+    return discover.discover_rejects(
+        spark,
+        A.landed_master_index(spark, sf_dir),
+        A.landed_region_indexes(spark, sf_dir, corrupt=True),
+    ).drop("record")
+
+
 # --- version diff -----------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from ratebook.catalogue import adapters as A
 from ratebook.catalogue import sql as S
 from ratebook.catalogue.registry import day, instant, query, shown
 from ratebook.functions.exprs import attribute
-from ratebook.operators import flatten
+from ratebook.operators import compose, flatten
 from ratebook.plans import consumer
 from ratebook.scratch import new_folder
 from ratebook.sources import ndjson, offers
@@ -274,7 +274,21 @@ def sink_ndjson_roundtrip(spark, sf_dir):
     return shown(spark.read.schema(schemas.HISTORY).json(path))
 
 
-# --- consumer queries over flattened documents ------------------------------
+# --- consumer queries over a loaded book ------------------------------------
+
+
+def served(spark, sf_dir):
+    """A live table that serves the flattened service documents."""
+
+    def load(_path: str):
+        book = A.new_book(spark, "served")
+        day = STAMP["run_date"]
+        rows = compose.clustered(flat_services(spark, sf_dir))
+        folder = book.write_rows(rows, day)
+        book.commit(days={day: folder}, live=folder)
+        return book
+
+    return A.once(spark, sf_dir, "served", load).read_live()
 
 
 @query(
@@ -284,7 +298,7 @@ def sink_ndjson_roundtrip(spark, sf_dir):
 )
 def point_price_lookup(spark, sf_dir):
     looked_up = consumer.point_price_lookup(
-        flat_services(spark, sf_dir),
+        served(spark, sf_dir),
         "BUILDING",
         {"instanceType": "type.7"},
         "instanceType",
@@ -300,6 +314,6 @@ def point_price_lookup(spark, sf_dir):
 )
 def attribute_listing(spark, sf_dir):
     listed = consumer.attribute_listing(
-        flat_services(spark, sf_dir), "MACHINERY", "storageClass", "storage_class"
+        served(spark, sf_dir), "MACHINERY", "storageClass", "storage_class"
     )
     return listed.withColumn("price_per_unit", F.col("price_per_unit").cast("double"))

@@ -46,7 +46,7 @@ def url_path(url: Column) -> Column:
 
 
 def normalise_range(bound: Column) -> Column:
-    text = F.regexp_replace(bound, r"^\s+|\s+$", "")
+    text = F.regexp_replace(bound, r"(?U)^\s+|\s+$", "")  # any Unicode blank
     return F.when(~F.lower(text).isin(*UNBOUNDED), text)
 
 
@@ -100,7 +100,8 @@ def json_value(value: Column, path: str) -> Column:
 def attribute(value: Column, key: str) -> Column:
     """Attribute known to be a scalar.  A bare path extraction, so that the
     parquet scan reads only that path of the variant column."""
-    return F.try_variant_get(value, f"$.{key}", "string")
+    quoted = key.replace("\\", "\\\\").replace("'", "\\'")
+    return F.try_variant_get(value, f"$['{quoted}']", "string")
 
 
 def json_keys(value: Column) -> Column:

@@ -26,8 +26,7 @@ def pairs_not_in_changed(rows: DataFrame, pairs: DataFrame) -> DataFrame:
 def carry_forward(previous: DataFrame, pairs: DataFrame, run_date: date) -> DataFrame:
     """Previous day's rows of every pair that did not change, dated `run_date`.
 
-    With pairs from `written_keys` a broadcast anti join: the previous partition is
-    streamed through in file order, never shuffled, so its clustering survives.
+    With pairs from `written_keys` a broadcast anti join, which shuffles nothing.
     """
     kept = pairs_not_in_changed(previous, pairs)
     return kept.withColumn("ingestion_date", F.lit(run_date)).select(
@@ -47,12 +46,13 @@ def compose(
 
     `base` is today's partition on a same-day rerun (its changed pairs are
     replaced), the latest earlier partition on a new day, None on the first run.
-    Only the fresh rows are shuffled.
+    Both are put in order together, so the day is clustered however many days its rows
+    were carried; the order's boundaries come from a sample of files, if `fresh` was
+    written before.
     """
-    fresh = clustered(fresh)
-    if base is None:
-        return fresh
-    return carry_forward(base, pairs, run_date).unionByName(fresh)
+    if base is not None:
+        fresh = carry_forward(base, pairs, run_date).unionByName(fresh)
+    return clustered(fresh)
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:

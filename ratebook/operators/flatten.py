@@ -72,6 +72,46 @@ def service_entries(
     )
 
 
+def last_wins(members: Column | str) -> Column:
+    """A map whose repeated keys have their last value, as a JSON object's members do."""
+    return F.map_from_entries(F.map_entries(members))
+
+
+def priced_entries(documents: DataFrame, *, include_reserved: bool = True) -> DataFrame:
+    """One row per (bucket, sku) with a price: its map of terms, and its product.
+
+    Terms and products are maps of the same document, or of the same slice, so they are
+    zipped by sku where they are: nothing is shuffled.  A price without a product is kept, a
+    product without a price is not.
+    """
+    buckets = ("OnDemand", "Reserved") if include_reserved else ("OnDemand",)
+    no_products = F.map_from_arrays(F.array(), F.array()).cast(
+        documents.select("products").schema[0].dataType
+    )
+    products = last_wins(F.coalesce("products", no_products))
+
+    def zipped(bucket: str) -> Column:
+        return F.map_zip_with(
+            last_wins(F.col(f"terms.{bucket}")),
+            "all_products",
+            lambda _, priced, product: F.struct(
+                priced.alias("priced"), product.alias("product")
+            ),
+        )
+
+    parts = [
+        F.struct(F.lit(bucket).alias("term_type"), zipped(bucket).alias("entries"))
+        for bucket in buckets
+    ]
+    return (
+        documents.withColumn("all_products", products)
+        .select(*_CONTEXT, F.inline(F.array(*parts)))
+        .select(*_CONTEXT, "term_type", F.explode("entries").alias("sku", "entry"))
+        .where(F.col("entry.priced").isNotNull())
+        .select(*_CONTEXT, "term_type", "sku", "entry.priced", "entry.product")
+    )
+
+
 def plan_entries(documents: DataFrame) -> DataFrame:
     """The same for plan documents: products (a list in some documents, a map in
     others) and the plans that have a sku."""
@@ -159,13 +199,15 @@ def with_products(entries: DataFrame) -> DataFrame:
 
 
 def service_rates(rows: DataFrame) -> DataFrame:
-    """Explode sku -> term -> price dimension."""
-    terms = rows.select("*", F.explode("priced").alias("term_id", "term")).drop("priced")
+    """Explode sku -> term -> price dimension; of repeated members the last counts."""
+    terms = rows.select("*", F.explode(last_wins("priced")).alias("term_id", "term")).drop(
+        "priced"
+    )
     return (
         terms.withColumn("term_attributes", X.json_or_null(F.col("term.termAttributes")))
         .withColumn("offer_term_code", F.col("term.offerTermCode"))
         .withColumn("effective_date", X.effective_date(F.col("term.effectiveDate")))
-        .select("*", F.explode("term.priceDimensions").alias("rate_id", "rate"))
+        .select("*", F.explode(last_wins("term.priceDimensions")).alias("rate_id", "rate"))
         .drop("term")
     )
 
@@ -202,9 +244,10 @@ def flatten_service_offers(
     include_reserved: bool = True,
 ) -> DataFrame:
     """Service documents (with target columns) -> history rows."""
-    entries = service_entries(documents, include_reserved=include_reserved)
-    rates = service_rates(with_products(entries))
-    prices = F.col("rate.pricePerUnit")
+    entries = priced_entries(documents, include_reserved=include_reserved)
+    rates = service_rates(_product_columns(entries, F.col("product")).drop("product"))
+    rates = rates.withColumn("prices", last_wins("rate.pricePerUnit"))
+    prices = F.col("prices")
     columns = base_columns(run_date, ingested_at) | {
         "rate_code": X.rate_code(F.col("rate.rateCode"), F.col("term_id")),
         "offer_term_code": F.col("offer_term_code"),

@@ -37,8 +37,7 @@ def require_landed(wanted: DataFrame, landed: DataFrame) -> int:
 def require_some_data(fresh_rows: int, today_has_data: bool, has_previous: bool) -> None:
     if not (fresh_rows or today_has_data or has_previous):
         raise LoadRefused(
-            "no document produced a row and there is no earlier partition to carry "
-            "forward; refusing to create an empty live table"
+            "nothing to serve: the documents hold no price, and no day was loaded before"
         )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ratebook import schemas
 from ratebook.operators import audit, compose, diff, flatten, guards, upsert
-from ratebook.operators.discover import discover_targets
+from ratebook.operators.discover import discover_rejects, discover_targets
 from ratebook.operators.keys import written_keys
 from ratebook.scratch import written
 from ratebook.session import sized_shuffles
@@ -89,8 +89,8 @@ def run_load(
     include_reserved: bool = True,
     force: bool = False,
 ) -> LoadResult:
-    """One load.  Live moves last, versions move only after the history did, so a
-    run that failed anywhere is healed by running again."""
+    """One load.  The day, the versions and live move in one commit, so a run that failed
+    anywhere has either changed nothing or is finished by the next one."""
     if not landing.service_offers or not landing.master_index:
         raise ValueError("a load needs a landing directory")
     spark = book.spark
@@ -103,6 +103,7 @@ def run_load(
         loaded, changed, skipped = _load(
             book,
             landing,
+            run_id=run_id,
             run_date=run_date,
             now=now,
             service_filter=service_filter,
@@ -124,7 +125,7 @@ def run_load(
 
 
 def _load(
-    book, landing, *, run_date, now, service_filter, include_plans, include_reserved, force
+    book, landing, *, run_id, run_date, now, service_filter, include_plans, include_reserved, force
 ) -> tuple[int, int, int]:
     spark = book.spark
     work = book.folder("work")
@@ -141,14 +142,30 @@ def _load(
     )
     guards.require_targets(n_targets)
 
+    rejects = written(
+        discover_rejects(
+            spark,
+            landing.master_index,
+            landing.region_indexes,
+            service_filter=service_filter,
+            include_plans=include_plans,
+        ).withColumn("run_id", F.lit(run_id)),
+        f"{work}/rejects",
+    )
+    book.reject(rejects)
+    n_rejects = rejects.count()
+    if n_rejects:
+        log.warning("load %s: %d services have no usable index", run_id, n_rejects)
+
     known = diff.known_versions(book.read_versions())
     if force:
         known = diff.no_known_versions(book.read_versions())
     changed, n_changed = written_keys(diff.changed(targets, known), f"{work}/changed")
     n_skipped = n_targets - n_changed
 
-    today = book.partition_has_data(run_date)
-    previous = book.latest_previous_partition(run_date)
+    days = book.partition_dates()
+    today = run_date in days and not book.read_history(on=run_date).isEmpty()
+    previous = book.latest_previous_partition(run_date, days)
     if guards.is_noop(n_changed > 0, today, force):
         return 0, 0, n_skipped
 
@@ -156,8 +173,8 @@ def _load(
         # A new day without changes is the previous day's content as it stands: the
         # date is not part of a folder, so both days can share one.
         guards.require_some_data(0, today, previous is not None)
-        book.publish({run_date: book.partition_folder(previous)})
-        book.swap_live(run_date)
+        folder = book.partition_folder(previous)
+        book.commit(days={run_date: folder}, live=folder)
         return 0, 0, n_skipped
 
     kinds = {"service": landing.service_offers}
@@ -177,9 +194,8 @@ def _load(
     elif previous:
         base = book.read_history(on=previous)
 
-    # The day's content is written once; what was loaded is then counted from its
-    # files, a scan of a few dictionary-encoded columns.
-    pairs = diff.changed_pairs(changed)
+    # The fresh rows are written once; what was loaded is counted from those files, and
+    # the day is put in order from them and the carried rows, without flattening again.
     fresh = fresh_rows(
         spark,
         landing,
@@ -189,27 +205,26 @@ def _load(
         include_plans=include_plans,
         include_reserved=include_reserved,
     )
+    pairs = diff.changed_pairs(changed)
     with sized_shuffles(spark, to_read):
+        fresh = written(fresh, f"{work}/fresh")
+        summary = written(
+            fresh.groupBy(
+                *schemas.TARGET_KEY, "publication_date", "ingested_at", "source_url"
+            ).agg(F.count(F.lit(1)).alias("rows_loaded")),
+            f"{work}/summary",
+        )
+        n_rows = summary.agg(F.coalesce(F.sum("rows_loaded"), F.lit(0))).first()[0]
+        guards.require_some_data(n_rows, today, previous is not None)
         folder = book.write_rows(
             compose.compose(base, fresh, pairs, run_date), run_date
         )
-    loaded = compose.pairs_in_changed(book.written_rows(folder), pairs)
-    summary = written(
-        loaded.groupBy(
-            *schemas.TARGET_KEY, "publication_date", "ingested_at", "source_url"
-        ).agg(F.count(F.lit(1)).alias("rows_loaded")),
-        f"{work}/summary",
-    )
-    n_rows = summary.agg(F.coalesce(F.sum("rows_loaded"), F.lit(0))).first()[0]
-    guards.require_some_data(n_rows, today, previous is not None)
-
-    book.publish({run_date: folder})
     merged = upsert.merge_versions(
         book.read_versions(), upsert.versions_from_history(summary)
     )
     empty = flatten.empty_targets(changed, summary)
-    book.replace_versions(
+    versions = book.write_versions(
         upsert.upsert_empty_targets(merged, empty, F.lit(now).cast("timestamp"))
     )
-    book.swap_live(run_date)
+    book.commit(days={run_date: folder}, versions=versions, live=folder)
     return n_rows, n_changed, n_skipped

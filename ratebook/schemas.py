@@ -68,6 +68,28 @@ RUNS = T.StructType(
 # The audit table is appended to, never updated: each row is one event of a run.
 RUN_EVENTS = T.StructType([*RUNS.fields, T.StructField("event_seq", T.IntegerType())])
 
+# Where the content of a table or of a day is, by publish.
+POINTERS = T.StructType(
+    [
+        T.StructField("number", T.LongType()),
+        T.StructField("kind", T.StringType()),
+        T.StructField("day", T.DateType()),
+        T.StructField("folder", T.StringType()),
+    ]
+)
+
+# What discovery could not use, by run.
+REJECTS = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("service_code", T.StringType()),
+        T.StructField("offer_type", T.StringType()),
+        T.StructField("index_path", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("record", T.StringType()),
+    ]
+)
+
 # Spark drops NOT NULL on parquet tables, so writers check these themselves.
 REQUIRED_HISTORY = (
     "ingestion_date",

@@ -14,14 +14,15 @@ _LOCAL_ROOTS: dict[str, str] = {}
 def shared_root(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir.
 
-    Only a local session may go without: it gets one temporary folder.
+    Only a session that is one local process may go without: it gets one temporary folder.
     """
     configured = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(
         _CHECKPOINT_DIR
     )
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder every executor can reach")
     application = spark.sparkContext.applicationId
     if application not in _LOCAL_ROOTS:

@@ -10,7 +10,6 @@ from pyspark.sql import SparkSession
 
 _SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 PARTITION_BYTES = 512 * 1024 * 1024
-MOST_PARTITIONS = 100_000
 
 SETTINGS = {
     # All timestamps are UTC.
@@ -19,6 +18,8 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     # A repeated member of a JSON object: the last one counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # The same when a map is put together again from its entries.
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     # Runtime re-planning: coalesced partitions, split skewed join partitions,
     # broadcast of sides that turn out small.
     "spark.sql.adaptive.enabled": "true",
@@ -35,7 +36,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
     """Enough shuffle partitions for the input, never fewer than the session's own.
     AQE merges the ones that turn out small."""
-    needed = min(math.ceil(input_bytes / PARTITION_BYTES), MOST_PARTITIONS)
+    needed = math.ceil(input_bytes / PARTITION_BYTES)
     if needed > int(spark.conf.get(_SHUFFLE_PARTITIONS)):
         spark.conf.set(_SHUFFLE_PARTITIONS, str(needed))
 

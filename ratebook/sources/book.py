@@ -1,9 +1,14 @@
 """The price book: history, versions, runs and live as external parquet tables.
 
-Data folders are written once and never changed.  A table is moved to new content
-by pointing its partition (history) or its location (versions, live) at a new
-folder: readers see the old content or the new, a failed write is never seen, and a
-job may read a table while it writes that table's next content.
+Data folders are written once and never changed.  What a book serves is said by its pointers,
+a small append-only table below the book's own location: (kind, day) -> folder.  A publish
+appends all of its pointers as one file, which is the only commit; the catalog's tables and
+partitions are then pointed at them.  Any session that opens the location attaches what the
+pointers say, so nothing depends on the catalog that wrote them, and a publish that died
+between its commit and the catalog is finished by whoever opens the book next.
+
+Readers see the old content or the new, and a job may read a table while it writes that
+table's next content.  One load at a time writes to a book.
 """
 
 from __future__ import annotations
@@ -11,6 +16,7 @@ from __future__ import annotations
 from datetime import date
 from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +26,14 @@ from ratebook.operators import audit
 from ratebook.operators.guards import require_columns, require_day
 
 
+#: The first pointer of every book.
+_OPENED = "opened"
+
+
+class UnknownContent(RuntimeError):
+    """The location holds data that no pointer knows."""
+
+
 class PriceBook:
     def __init__(self, spark: SparkSession, database: str, location: str):
         if not database or not location:
@@ -27,6 +41,7 @@ class PriceBook:
         self.spark = spark
         self.database = database
         self.location = location.rstrip("/")
+        self._attached: dict[tuple[str, date | None], str] = {}
 
     def name(self, table: str) -> str:
         return f"`{self.database}`.`{table}`"
@@ -44,7 +59,8 @@ class PriceBook:
         )
 
     def provision(self) -> None:
-        """Database, history, versions and runs; the first swap creates live."""
+        """Database and tables, holding what the location's pointers say; the first
+        publish creates live."""
         self.spark.sql(
             f"CREATE DATABASE IF NOT EXISTS `{self.database}` "
             f"LOCATION '{self.location}/database'"
@@ -57,6 +73,86 @@ class PriceBook:
         )
         self._create("versions", schemas.VERSIONS, f"{self.location}/versions")
         self._create("runs", schemas.RUN_EVENTS, f"{self.location}/runs")
+        self._create("rejects", schemas.REJECTS, f"{self.location}/rejects")
+        self._create("pointers", schemas.POINTERS, f"{self.location}/pointers")
+        pointers = self._pointers()
+        if not pointers:
+            self._refuse_unknown_content()
+            self._append_pointers({(_OPENED, None): self.location})
+        self._attach(pointers)
+
+    # --- pointers -----------------------------------------------------------
+
+    def _pointers(self) -> dict[tuple[str, date | None], str]:
+        """The newest folder of each (kind, day): a row for each published day."""
+        newest = (
+            self.spark.table(self.name("pointers"))
+            .groupBy("kind", "day")
+            .agg(F.max_by("folder", "number").alias("folder"))
+        )
+        return {(r.kind, r.day): r.folder for r in newest.collect()}
+
+    def _append_pointers(self, moved: dict[tuple[str, date | None], str]) -> None:
+        last = self.spark.table(self.name("pointers")).agg(F.max("number")).first()[0] or 0
+        rows = [(last + 1, kind, day, folder) for (kind, day), folder in moved.items()]
+        # One file: all pointers of a publish appear at once.
+        self.spark.createDataFrame(rows, schemas.POINTERS).coalesce(1).write.insertInto(
+            self.name("pointers")
+        )
+
+    def _refuse_unknown_content(self) -> None:
+        try:
+            files = self.spark.read.format("binaryFile").load(f"{self.location}/data/*/*")
+            found = not files.select("path").isEmpty()
+        except AnalysisException:  # no such folder
+            found = False
+        if found:
+            raise UnknownContent(
+                f"{self.location} holds data but no pointers; a new book needs an empty folder"
+            )
+
+    def _attach(self, moved: dict[tuple[str, date | None], str]) -> None:
+        """Point the catalog at folders."""
+        moved = {
+            key: folder
+            for key, folder in moved.items()
+            if key[0] != _OPENED and self._attached.get(key) != folder
+        }
+        days = {day: folder for (kind, day), folder in moved.items() if kind == "history"}
+        if days:
+            table = f"ALTER TABLE {self.name('history')}"
+            partition = {d: f"PARTITION (ingestion_date = DATE '{d}')" for d in days}
+            known = set(self.partition_dates())
+            new = " ".join(f"{partition[d]} LOCATION '{f}'" for d, f in days.items() if d not in known)
+            if new:
+                self.spark.sql(f"{table} ADD IF NOT EXISTS {new}")
+            for day, folder in days.items():
+                if day in known:
+                    self.spark.sql(f"{table} {partition[day]} SET LOCATION '{folder}'")
+        for (kind, _), folder in moved.items():
+            if kind == "live":
+                self._create("live", schemas.LIVE, folder)
+            if kind in ("live", "versions"):
+                self.spark.sql(f"ALTER TABLE {self.name(kind)} SET LOCATION '{folder}'")
+        self._attached |= moved
+
+    def commit(
+        self,
+        *,
+        days: dict[date, str] | None = None,
+        versions: str | None = None,
+        live: str | None = None,
+    ) -> None:
+        """Publish folders of days, versions and live together."""
+        moved: dict[tuple[str, date | None], str] = {
+            ("history", day): folder for day, folder in (days or {}).items()
+        }
+        if versions:
+            moved["versions", None] = versions
+        if live:
+            moved["live", None] = live
+        self._append_pointers(moved)
+        self._attach(moved)
 
     # --- readers ------------------------------------------------------------
 
@@ -81,6 +177,9 @@ class PriceBook:
     def read_runs(self) -> DataFrame:
         return audit.run_states(self.spark.table(self.name("runs")))
 
+    def read_rejects(self) -> DataFrame:
+        return self.spark.table(self.name("rejects"))
+
     # --- partitions ---------------------------------------------------------
 
     def partition_dates(self) -> list[date]:
@@ -91,9 +190,12 @@ class PriceBook:
     def partition_has_data(self, day: date) -> bool:
         return day in self.partition_dates() and not self.read_history(on=day).isEmpty()
 
-    def latest_previous_partition(self, run_date: date) -> date | None:
+    def latest_previous_partition(
+        self, run_date: date, days: list[date] | None = None
+    ) -> date | None:
         """Newest day before `run_date` that has rows."""
-        earlier = (d for d in self.partition_dates() if d < run_date)
+        days = self.partition_dates() if days is None else days
+        earlier = (d for d in days if d < run_date)
         return next((d for d in earlier if not self.read_history(on=d).isEmpty()), None)
 
     def partition_folder(self, day: date) -> str:
@@ -111,39 +213,52 @@ class PriceBook:
         """Write one day's rows to a new folder that no table knows yet."""
         path = self.folder("history")
         checked = require_columns(require_day(rows, day), schemas.REQUIRED_HISTORY)
-        checked.where(F.col("ingestion_date").isNotNull()).select(
-            *[F.col(f.name).cast(f.dataType) for f in schemas.LIVE]
-        ).write.parquet(path)
+        self._as_history(checked).write.parquet(path)
         return path
 
+    def _as_history(self, checked: DataFrame) -> DataFrame:
+        # The filter keeps the check of the day, a column that is not written.
+        return checked.where(F.col("ingestion_date").isNotNull()).select(
+            *[F.col(f.name).cast(f.dataType) for f in schemas.LIVE]
+        )
+
     def written_rows(self, path: str) -> DataFrame:
         return self.spark.read.schema(schemas.LIVE).parquet(path)
 
     def publish(self, folders: dict[date, str]) -> None:
         """Point each day's partition at its folder."""
-        for day, path in folders.items():
-            partition = f"PARTITION (ingestion_date = DATE '{day}')"
-            table = f"ALTER TABLE {self.name('history')}"
-            self.spark.sql(f"{table} ADD IF NOT EXISTS {partition} LOCATION '{path}'")
-            self.spark.sql(f"{table} {partition} SET LOCATION '{path}'")
+        self.commit(days=folders)
 
-    def replace_versions(self, versions: DataFrame) -> None:
+    def write_versions(self, versions: DataFrame) -> str:
         path = self.folder("versions")
         checked = require_columns(versions, schemas.REQUIRED_VERSIONS)
         checked.select(
             *[F.col(f.name).cast(f.dataType) for f in schemas.VERSIONS]
         ).write.parquet(path)
-        self.spark.sql(f"ALTER TABLE {self.name('versions')} SET LOCATION '{path}'")
+        return path
+
+    def replace_versions(self, versions: DataFrame) -> None:
+        self.commit(versions=self.write_versions(versions))
 
     def swap_live(self, day: date) -> None:
         """Serve `day`: live takes over the partition's own folder, which holds
-        exactly its columns without the date and is never written again.  Nothing
-        is copied."""
-        path = self.partition_folder(day)
-        self._create("live", schemas.LIVE, path)
-        self.spark.sql(f"ALTER TABLE {self.name('live')} SET LOCATION '{path}'")
+        exactly its columns without the date.  Nothing is copied."""
+        self.commit(live=self.partition_folder(day))
+
+    def reject(self, rejects: DataFrame) -> None:
+        """Keep what a run could not use."""
+        rejects.select(*schemas.REJECTS.names).write.insertInto(self.name("rejects"))
 
     def record(self, events: DataFrame) -> None:
-        require_columns(events.coalesce(1), ("run_id", "status")).select(
+        required = tuple(c for c in schemas.REQUIRED_RUNS if c != "started_at")
+        checked = require_columns(events.coalesce(1), required)
+        started = F.col("started_at")
+        absent = F.raise_error(F.lit("required column started_at is NULL"))
+        checked.withColumn(
+            "started_at",
+            F.when((F.col("event_seq") == audit.STARTED) & started.isNull(), absent).otherwise(
+                started
+            ),
+        ).select(
             *schemas.RUN_EVENTS.names
         ).write.insertInto(self.name("runs"))

@@ -164,3 +164,15 @@ def test_error_text_and_names(spark):
     assert one(spark, name, a="S/ x", b="us-east-1", c="2025:04") == "S_x--us-east-1--2025_04"
     assert X.service_codes(" A, ,B,A,") == ["A", "B"]
     assert X.service_codes("") == []
+
+
+def test_blanks_of_any_kind_and_dotted_keys(spark):
+    row = spark.sql(
+        "SELECT ' \u00a0Inf\u2003' AS bound, ' 5\u00a0' AS tier, "
+        "parse_json('{\"a.b\": \"x\", \"it\\'s\": \"y\"}') AS v"
+    ).select(
+        X.normalise_range(F.col("bound")).alias("bound"),
+        X.tier_bound(F.col("tier")).alias("tier"),
+        X.attribute(F.col("v"), "a.b").alias("dotted"),
+    ).first()
+    assert row.bound is None and row.tier == 5 and row.dotted == "x"

@@ -44,23 +44,21 @@ def plain(rows):
 def test_sample_document(spark, tmp_path):
     docs.land_document(tmp_path / "landing", HOME, docs.SAMPLE)
     rows = {r.rate_code: r for r in plain(flat(spark, tmp_path))}
-    assert sorted(rows) == ["A.R.1", "A.T.1", "A.T.2", "B.T.1"]
-
-    first = rows["A.T.1"]
-    assert first.price_per_unit == Decimal("0.096") and first.currency == "USD"
-    assert (first.starting_range, first.ending_range) == (0, 51200)
-    assert first.effective_date == date(2025, 4, 1)
-    assert first.term_attributes is None
-    assert first.service_name == "Compute Cloud"
-    assert json.loads(first.attributes) == {"servicename": "Compute Cloud", "vcpu": "2"}
-    assert first.publication_date == datetime(2025, 4, 2, 10)
-    assert first.ingestion_date == date(2025, 5, 1)
-    assert first.price_per_unit_raw == {"USD": "0.0960000000"}
-    assert rows["A.T.2"].ending_range is None
-    assert rows["B.T.1"].price_per_unit == Decimal("0.0001")
-    assert rows["B.T.1"].ending_range is None and rows["B.T.1"].service_name is None
-    assert rows["A.R.1"].term_type == "Reserved"
-    assert json.loads(rows["A.R.1"].term_attributes)["PurchaseOption"] == "All"
+    assert len(rows) == 6 and not any(code.startswith("IDLE") for code in rows)
+    assert rows["QUEUE7.OD.c"].price_per_unit == Decimal("0.0000003")
+    tiers = [(rows[f"QUEUE7.OD.{t}"].starting_range, rows[f"QUEUE7.OD.{t}"].ending_range) for t in "abc"]
+    assert tiers == [(0, 10), (10, Decimal("900.5")), (Decimal("900.5"), None)]
+    queue = rows["QUEUE7.OD.a"]
+    assert json.loads(queue.attributes)["group"] == "fifo" and queue.service_name == "Letter Box"
+    assert (queue.effective_date, queue.offer_term_code) == (date(2025, 3, 17), "TERM0001")
+    assert (queue.currency, queue.price_per_unit_raw) == ("USD", {"USD": "0.25"})
+    assert queue.ingestion_date == date(2025, 5, 1)
+    disk = rows["DISK9.OD.a"]
+    assert (disk.product_family, disk.attributes, disk.ending_range) == ("Disks", None, None)
+    for part in ("up", "hr"):
+        reserved = rows[f"DISK2.RS.{part}"]
+        assert reserved.term_type == "Reserved" and json.loads(reserved.attributes) == {"iops": "300"}
+        assert json.loads(reserved.term_attributes)["OfferingClass"] == "standard"
     for row in rows.values():
         assert all(row[c] is not None for c in schemas.REQUIRED_HISTORY)
 
@@ -68,7 +66,7 @@ def test_sample_document(spark, tmp_path):
 def test_reserved_is_optional(spark, tmp_path):
     docs.land_document(tmp_path / "landing", HOME, docs.SAMPLE)
     rows = flat(spark, tmp_path, include_reserved=False)
-    assert rows.count() == 3
+    assert rows.count() == 4
     assert {r.term_type for r in rows.select("term_type").distinct().collect()} == {"OnDemand"}
 
 
@@ -132,6 +130,25 @@ def test_repeated_product_last_one_counts(spark, tmp_path):
     assert row.product_family == "f" and json.loads(row.attributes) == {"k": "v"}
 
 
+def test_repeated_members_last_one_counts(spark, tmp_path):
+    text = (
+        json.dumps(docs.priced(1))
+        .replace('"pricePerUnit": {', '"pricePerUnit": {"USD": "77", ')
+        .replace('"priceDimensions": {', '"priceDimensions": {"A.T.0": {"rateCode": "stale"}, ')
+    )
+    docs.land_document(tmp_path / "landing", HOME, text.encode())
+    (row,) = plain(flat(spark, tmp_path))
+    assert (row.rate_code, row.price_per_unit) == ("A.T.0", 1)
+    assert row.price_per_unit_raw == {"USD": "1"}
+
+
+def test_service_documents_are_not_shuffled(spark, tmp_path, capsys):
+    docs.land_document(tmp_path / "landing", HOME, docs.SAMPLE)
+    flat(spark, tmp_path).explain("simple")
+    plan = capsys.readouterr().out
+    assert "Generate" in plan and "Exchange hashpartitioning" not in plan and "Window" not in plan
+
+
 def test_documents_do_not_share_products(spark, tmp_path):
     """The same sku in two documents, only one of which describes it."""
     bare = {**docs.priced(2), "products": {}}

@@ -1,16 +1,20 @@
 """Consecutive loads, compared by what the tables hold."""
 
+import subprocess
+import sys
 from datetime import date, datetime, timedelta, timezone
+from pathlib import Path
 from uuid import uuid4
 
 import docs
 import pytest
 from pyspark.sql import functions as F
 
-from ratebook.operators import audit
+from ratebook.operators import audit, compose
 from ratebook.operators.guards import LoadRefused
+from ratebook.operators.keys import written_keys
 from ratebook.plans.load import run_load
-from ratebook.sources.book import PriceBook
+from ratebook.sources.book import PriceBook, UnknownContent
 
 DAY1 = datetime(2025, 5, 1, 2, tzinfo=timezone.utc)
 
@@ -154,10 +158,10 @@ def test_plans_are_loaded_with_services(book, catalogue):
 
 def test_only_shells_and_no_history_is_refused(book, catalogue):
     catalogue.offer("A", "r1", "v1", docs.SHELL)
-    with pytest.raises(LoadRefused, match="empty live table"):
+    with pytest.raises(LoadRefused, match="nothing to serve"):
         load(book, catalogue, DAY1)
     assert book.partition_dates() == [] and versions(book) == {}
-    assert last_run(book).status == "failed" and "empty live table" in last_run(book).error
+    assert last_run(book).status == "failed" and "nothing to serve" in last_run(book).error
 
 
 def test_document_that_was_not_landed_is_refused(book, catalogue):
@@ -197,6 +201,118 @@ def test_failed_load_changes_nothing_and_is_healed(book, catalogue):
     assert live(book) == {("A", "r1"): (1, 5), ("A", "r2"): (1, 6)}
 
 
+def reopened(spark, book):
+    """The same location through another catalog database."""
+    return PriceBook(spark, f"t_{uuid4().hex}", book.location)
+
+
+def test_another_catalog_sees_everything(spark, book, catalogue):
+    catalogue.offer("A", "r1", "v1", docs.priced(1, n=3))
+    catalogue.offer("B", "r1", "v1", docs.priced(2, n=2))
+    load(book, catalogue, DAY1)
+    catalogue.offer("A", "r1", "v2", docs.priced(5))
+    again = reopened(spark, book)
+    assert counts(load(again, catalogue, DAY1 + timedelta(days=1), service_filter="A")) == (1, 1, 0)
+    assert live(again) == {("A", "r1"): (1, 5), ("B", "r1"): (2, 2)}
+    assert day_rows(again, date(2025, 5, 1)) == 5
+    assert {k: v[0] for k, v in versions(again).items()} == {("A", "r1"): "v2", ("B", "r1"): "v1"}
+    # the first one catches up when it is opened
+    book.provision()
+    assert live(book) == live(again) and versions(book) == versions(again)
+
+
+_SECOND_PROCESS = """
+import sys, datetime
+sys.path[:0] = [{root!r}, {tests!r}]
+from ratebook.session import local_session
+from ratebook.sources.book import PriceBook
+spark = local_session("2", **{{"spark.sql.shuffle.partitions": "2"}})
+book = PriceBook(spark, "elsewhere", {location!r})
+book.provision()
+rows = book.read_live().groupBy("service_code").count().collect()
+print(sorted(map(tuple, rows)), len(book.partition_dates()), book.read_versions().count())
+"""
+
+
+def test_another_process_sees_everything(book, catalogue, tmp_path):
+    catalogue.offer("A", "r1", "v1", docs.priced(1, n=3))
+    catalogue.offer("B", "r1", "v1", docs.priced(2, n=2))
+    load(book, catalogue, DAY1)
+    here = Path(__file__).resolve().parent
+    code = _SECOND_PROCESS.format(root=str(here.parent), tests=str(here), location=book.location)
+    out = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300
+    )
+    assert out.stdout.splitlines()[-1] == "[('A', 3), ('B', 2)] 1 2", out.stderr[-2000:]
+
+
+def test_a_publish_that_died_half_way_is_finished(spark, book, catalogue, monkeypatch):
+    catalogue.offer("A", "r1", "v1", docs.priced(1))
+    load(book, catalogue, DAY1)
+    catalogue.offer("A", "r1", "v2", docs.priced(2))
+    with monkeypatch.context() as broken:
+        broken.setattr(PriceBook, "_attach", lambda self, moved: 1 / 0 if len(moved) == 3 else None)
+        with pytest.raises(ZeroDivisionError):
+            load(book, catalogue, DAY1 + timedelta(days=1))
+    assert live(book) == {("A", "r1"): (1, 1)}
+    load(book, catalogue, DAY1 + timedelta(days=1, hours=1))
+    assert live(book) == {("A", "r1"): (1, 2)} and versions(book)["A", "r1"][0] == "v2"
+
+
+def test_data_without_pointers_is_refused(spark, book):
+    spark.range(1).write.parquet(f"{book.location}/data/history/old")
+    with pytest.raises(UnknownContent):
+        book.provision()
+
+
+def test_unusable_indexes_are_kept(book, catalogue):
+    catalogue.offer("A", "r1", "v1", docs.priced(1))
+    catalogue.offer("B", "r1", "v1", docs.priced(1))
+    result = load(book, catalogue, DAY1, corrupt=("B",))
+    (reject,) = book.read_rejects().collect()
+    assert (reject.run_id, reject.service_code) == (result.run_id, "B")
+    assert reject.reason == "index not readable" and reject.record
+
+
+def test_carried_days_stay_clustered(spark, book, tmp_path):
+    """A pair's rows lie in few files however often they were carried."""
+    pairs = [(f"S{n % 20:02}", f"r{n % 7}") for n in range(4000)]
+    base = docs.history_rows(spark, date(2025, 5, 1), pairs)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        day = date(2025, 5, 1)
+        changed = written_keys(
+            spark.createDataFrame([("S03", "r1")], "service_code string, region_code string"),
+            str(tmp_path / "pairs"),
+        ).frame
+        folder = book_folder(book, compose.compose(None, base, changed, day), day)
+        for _ in range(5):
+            earlier, day = day, day + timedelta(days=1)
+            fresh = docs.history_rows(spark, day, [("S03", "r1")] * 30)
+            rows = compose.compose(book.read_history(on=earlier), fresh, changed, day)
+            folder = book_folder(book, rows, day)
+        files = (
+            book.written_rows(folder)
+            .groupBy(F.input_file_name())
+            .agg(F.min("service_code").alias("a"), F.max("service_code").alias("b"))
+            .collect()
+        )
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(files) >= 6
+    assert sum(f.a <= "S11" <= f.b for f in files) <= 2
+
+
+def book_folder(book, rows, day):
+    book.provision()
+    folder = book.write_rows(rows, day)
+    book.commit(days={day: folder}, live=folder)
+    return folder
+
+
 def test_mandatory_parameters(spark, book, catalogue):
     landing = catalogue.landing()
     landing.service_offers = ""
