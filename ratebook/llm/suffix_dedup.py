@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratebook.llm.common import NO_ID, batch_of, keyed, prepare, ragged, real_id, slices, stored
@@ -128,13 +128,23 @@ def blocks(data: np.ndarray, offsets: np.ndarray, length: int, kgram: int):
     return owner[first], at, begin, end, grams[at], mixed(content)
 
 
+#: A block is where its anchor is, and how far it reaches before and after it, in one number;
+#: a run that is removed already has its start, negative, and its size as `content`.
 _FOUND = pa.schema(
-    [("key", pa.int64()), ("removed", pa.bool_()), ("content", pa.int64()), ("did", pa.int64()),
-     ("sig", pa.int64()), ("pos", pa.int64()), ("extent", pa.int64())]
-)
-_FOUND_COLUMNS = (
-    "key long, removed boolean, content long, did long, sig long, pos long, extent long"
+    [(c, pa.int64()) for c in ("key", "content", "did", "sig", "place")]
 )
+_FOUND_COLUMNS = "key long, content long, did long, sig long, place long"
+_REACH = 12
+
+
+def _unpacked(place: Column) -> tuple[Column, Column, Column]:
+    """(position, before, after) of a block's place."""
+    mask = F.lit((1 << _REACH) - 1)
+    return (
+        F.shiftright(place, 2 * _REACH),
+        F.shiftright(place, _REACH).bitwiseAND(mask),
+        place.bitwiseAND(mask),
+    )
 
 
 def merged(start: np.ndarray, end: np.ndarray, owner: np.ndarray):
@@ -182,14 +192,12 @@ class _Anchors:
         texts, owner = np.unique(np.stack((did[gone], sig[gone])), axis=1, return_inverse=True)
         start, stop, owner = merged(begin[gone], end[gone], owner.reshape(-1))
         kept = dict(
-            key=key[first], removed=np.zeros(int(first.sum()), bool), content=content[first],
-            did=did[first], sig=sig[first], pos=pos[first],
-            extent=(pos - begin)[first] << 32 | (end - pos)[first],
+            key=key[first], content=content[first], did=did[first], sig=sig[first],
+            place=(pos << 2 * _REACH | (pos - begin) << _REACH | (end - pos))[first],
         )
         removed = dict(
-            key=start * 31 + texts[0][owner], removed=np.ones(len(start), bool),
-            content=np.zeros(len(start), np.int64), did=texts[0][owner], sig=texts[1][owner],
-            pos=start, extent=stop - start,
+            key=start * 31 + texts[0][owner], content=stop - start, did=texts[0][owner],
+            sig=texts[1][owner], place=-1 - start,
         )
         for columns in (kept, removed):
             for k in range(0, len(columns["key"]), 50_000):
@@ -259,11 +267,10 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ):
             raw = press.decompress(packed)
             for edge in edges:
-                ahead, behind = edge["extent"] >> 32, edge["extent"] & 0xFFFFFFFF
-                start = edge["pos"] - ahead
+                start = edge["start"]
+                block = raw[start : edge["end"]]
                 for name, value in zip(
-                    _EDGES.names,
-                    (edge["key"], did, sig, start, ahead, raw[start : edge["pos"] + behind]),
+                    _EDGES.names, (edge["key"], did, sig, start, edge["ahead"], block)
                 ):
                     out[name].append(value)
         yield batch_of(_EDGES, **out)
@@ -406,35 +413,38 @@ def repeats(
     kgram: int = KGRAM,
 ) -> DataFrame:
     """(did, sig, spans): the removed byte runs of every text that has some."""
-    if not 0 < kgram <= length:
-        raise ValueError("anchors are at most as long as the strings")
+    if not 0 < kgram <= length < 1 << _REACH:
+        raise ValueError("anchors are at most as long as the strings, and those under 4096 bytes")
     prepare(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
     found = rows.mapInArrow(_anchors(length, kgram), _FOUND_COLUMNS).repartition("key")
+    found = found.withColumn("removed", F.col("place") < 0)
     anchor = Window.partitionBy("key", "removed")
-    by_place = Window.partitionBy("key", "removed", "content").orderBy("did", "pos")
+    by_place = Window.partitionBy("key", "removed", "content").orderBy("did", "place")
     judged = stored(
-        found.withColumn("place", F.rank().over(by_place))
+        found.withColumn("rank", F.rank().over(by_place))
         .withColumn("least", F.min("content").over(anchor))
         .withColumn("most", F.max("content").over(anchor))
-        .withColumn("gone", F.col("removed") | (F.col("place") > 1))
+        .withColumn("gone", F.col("removed") | (F.col("rank") > 1))
         .where("gone or least < most")
-        .select("gone", "removed", "key", "did", "sig", "pos", "extent"),
+        .select("gone", "removed", "key", "content", "did", "sig", "place"),
         "blocks",
     )
-    ahead, behind = F.shiftright("extent", 32), F.col("extent").bitwiseAND(F.lit(0xFFFFFFFF))
-    whole = judged.where("gone").select(
-        "did",
-        "sig",
-        F.when(F.col("removed"), F.col("pos")).otherwise(F.col("pos") - ahead).alias("start"),
-        F.when(F.col("removed"), F.col("pos") + F.col("extent"))
-        .otherwise(F.col("pos") + behind)
-        .alias("end"),
+    position, before, after = _unpacked(F.col("place"))
+    judged = judged.withColumns(
+        {
+            "start": F.when(F.col("removed"), -1 - F.col("place")).otherwise(position - before),
+            "end": F.when(F.col("removed"), F.col("content") - 1 - F.col("place")).otherwise(
+                position + after
+            ),
+            "ahead": before,
+        }
     )
+    whole = judged.where("gone").select("did", "sig", "start", "end")
     edges = (
         judged.where("not gone")
         .groupBy("did", "sig")
-        .agg(F.collect_list(F.struct("key", "pos", "extent")).alias("edges"))
+        .agg(F.collect_list(F.struct("key", "start", "end", "ahead")).alias("edges"))
     )
     columns = "key long, did long, sig long, start long, ahead long, bytes binary"
     partial = (
