@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from ratebook.catalogue.registry import ORACLE, QUERIES
 
 SF = f"{check.TESTDATA}/sf0.001"
 
@@ -14,13 +15,15 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= entry.queries().keys()
+    assert entry.oracle_sql().keys() <= entry.queries().keys()
 
 
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, connection, name):
     assert check.compare(spark, connection, SF, name) == ""
