@@ -74,25 +74,59 @@ def logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, steps: int = STEPS) -> np.ndarray:
+@dataclass
+class Table:
+    """Texts as the places of their features (0/1), and a few dense columns."""
+
+    found: list[np.ndarray]
+    size: int
+    dense: np.ndarray
+
+    def __post_init__(self) -> None:
+        counts = [len(f) for f in self.found]
+        self.rows = np.repeat(np.arange(len(self.found)), counts)
+        self.places = np.concatenate([np.zeros(0, np.int64), *self.found]).astype(np.int64)
+
+    def __len__(self) -> int:
+        return len(self.found)
+
+    def where(self, chosen: np.ndarray) -> Table:
+        at = np.flatnonzero(chosen)
+        return Table([self.found[k] for k in at], self.size, self.dense[at])
+
+    def beside(self, column: np.ndarray) -> Table:
+        return Table(self.found, self.size, np.column_stack((self.dense, column)))
+
+    def scores(self, w: np.ndarray) -> np.ndarray:
+        """Sums of coefficients: features, dense columns, intercept."""
+        z = np.bincount(self.rows, w[self.places], len(self)) + w[-1]
+        return z + self.dense @ w[self.size : -1]
+
+    def slope(self, r: np.ndarray) -> np.ndarray:
+        """The transpose: what each coefficient gathers of `r`."""
+        own = np.bincount(self.places, r[self.rows], self.size)
+        return np.concatenate((own, r @ self.dense, [r.sum()]))
+
+
+def fit(x: Table, y: np.ndarray, ridge: float = RIDGE, steps: int = STEPS) -> np.ndarray:
     """Coefficients of a ridge logistic regression; the last one is the free intercept."""
+    width = x.size + x.dense.shape[1] + 1
     if not len(y) or y.min() == y.max():
-        out = np.zeros(x.shape[1] + 1)
+        out = np.zeros(width)
         out[-1] = 35.0 if len(y) and y[0] else -35.0
         return out
-    x = np.hstack((x, np.ones((len(x), 1), x.dtype)))
-    penalty = np.full(x.shape[1], ridge)
+    penalty = np.full(width, ridge)
     penalty[-1] = 0
     # accelerated gradient descent; the bound on the curvature sets the step
-    v = np.ones(x.shape[1])
+    v = np.ones(width)
     for _ in range(12):
-        v = x.T @ (x @ v)
+        v = x.slope(x.scores(v))
         v /= np.linalg.norm(v)
-    step = 1 / (0.25 * float(np.linalg.norm(x @ v) ** 2) + ridge)
-    w = last = np.zeros(x.shape[1])
+    step = 1 / (0.25 * float(np.linalg.norm(x.scores(v)) ** 2) + ridge)
+    w = last = np.zeros(width)
     for k in range(steps):
         ahead = w + (k / (k + 3)) * (w - last)
-        slope = x.T @ (logistic(x @ ahead) - y) + penalty * ahead
+        slope = x.slope(logistic(x.scores(ahead)) - y) + penalty * ahead
         last, w = w, ahead - step * slope
     return w
 
@@ -106,14 +140,11 @@ class Chain:
     weights: list[np.ndarray] = field(default_factory=list)
 
     def probabilities(self, texts_: Iterator[str | None], lookup: _Lookup) -> np.ndarray:
-        found = [lookup.of(t) if t else [] for t in texts_]
-        out = np.zeros((len(found), len(self.categories)))
-        rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
-        places = np.array([p for f in found for p in f], np.int64)
-        for k, w in enumerate(self.weights):
-            z = np.bincount(rows, w[places], len(found)) + w[-1]
-            z += out[:, :k] @ w[len(self.features) : len(self.features) + k]
-            out[:, k] = logistic(z)
+        found = [np.array(lookup.of(t) if t else [], np.int64) for t in texts_]
+        out = np.zeros((len(found), 0))
+        for w in self.weights:
+            scores = Table(found, len(self.features), out).scores(w)
+            out = np.column_stack((out, logistic(scores)))
         return out
 
     def column(self, text: Column) -> Column:
@@ -132,20 +163,19 @@ class Chain:
         return score(text)
 
 
-def train_chain(x: np.ndarray, y: np.ndarray, folds: np.ndarray) -> list[np.ndarray]:
-    """One row of coefficients a category; x is 0/1, y has a column a category (nan: no label)."""
-    weights, earlier = [], np.zeros((len(x), 0))
+def train_chain(x: Table, y: np.ndarray, folds: np.ndarray) -> list[np.ndarray]:
+    """One row of coefficients a category; y has a column a category (nan: no label)."""
+    weights = []
     for k in range(y.shape[1]):
         known = ~np.isnan(y[:, k])
-        full = np.hstack((x, earlier.astype(x.dtype)))
-        weights.append(fit(full[known], y[known, k]))
+        weights.append(fit(x.where(known), y[known, k]))
         if k + 1 < y.shape[1]:
             held = np.zeros(len(x))
             for fold in range(FOLDS):
                 own = folds == fold
-                w = fit(full[known & ~own], y[known & ~own, k])
-                held[own] = logistic(full[own] @ w[:-1] + w[-1])
-            earlier = np.column_stack((earlier, held))
+                w = fit(x.where(known & ~own), y[known & ~own, k])
+                held[own] = logistic(x.where(own).scores(w))
+            x = x.beside(held)
     return weights
 
 
@@ -244,10 +274,10 @@ def train(
 
     known.func.__annotations__ = {"text": pd.Series, "return": pd.Series}
     rows = sample.select("doc_id", "labels", known("text").alias("found")).orderBy("doc_id").collect()
-    x = np.zeros((len(rows), len(places)), np.float32)
+    found = [np.array(row.found, np.int64) for row in rows]
+    x = Table(found, len(places), np.zeros((len(rows), 0)))
     y = np.full((len(rows), len(names)), np.nan)
     for k, row in enumerate(rows):
-        x[k, row.found] = 1
         y[k] = [np.nan if v is None else v for v in row.labels]
     folds = np.random.default_rng(3).permutation(len(rows)) % FOLDS
     chain.weights = train_chain(x, y, folds)

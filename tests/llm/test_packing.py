@@ -45,7 +45,7 @@ def test_best_fit_decreasing():
 
 
 def test_pieces_hold_every_id_once(documents, words, odd, corpus):
-    rows = [r for r in odd if r[0] != 5] + corpus[:60]
+    rows = [r for r in odd if r[0] != 5] + [(i + 100, t) for i, t in corpus[:60]]
     made = packing.pack(packing.pieces(documents(rows), words, window=64), 64, group=100)
     found = made.collect()
     lib = library(words)

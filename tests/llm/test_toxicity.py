@@ -36,7 +36,8 @@ def test_chain_on_held_out_texts(spark, documents):
 
 def test_folds_do_not_see_their_own_labels():
     rng = np.random.default_rng(8)
-    x = rng.integers(0, 2, (200, 120)).astype(np.float32)
+    found = [np.flatnonzero(rng.integers(0, 2, 120)) for _ in range(200)]
+    x = toxicity.Table(found, 120, np.zeros((200, 0)))
     noise = rng.integers(0, 2, (200, 2)).astype(float)
     weights = toxicity.train_chain(x, noise, np.arange(200) % toxicity.FOLDS)
     # in-sample probabilities of noise would look certain, out-of-fold ones do not help

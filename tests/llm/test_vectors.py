@@ -23,7 +23,7 @@ def vectors(count=500, size=8, seed=1):
     rng = np.random.default_rng(seed)
     made = rng.normal(size=(count, size)).astype(np.float32)
     made[50:120] = made[50]  # one common vector
-    made[200] *= 40  # lengths differ
+    made[140] *= 40  # lengths differ
     return [(i, v.tolist()) for i, v in enumerate(made)]
 
 
