@@ -121,10 +121,14 @@ def effective_date(spark, sf_dir):
     )
 
 
-@query("SELECT o_orderkey, o_totalprice AS price FROM orders")
+@query(
+    """SELECT o_orderkey, CAST(CAST(CAST(o_totalprice AS DECIMAL(18, 2))
+      AS DECIMAL(38, 18)) AS VARCHAR) AS price FROM orders"""
+)
 def exact_decimal_price(spark, sf_dir):
+    """All 38 digits as text: a price that was ever a double shows."""
     return A.table(spark, sf_dir, "orders").select(
-        "o_orderkey", X.exact_price(A.price_text()).cast("double").alias("price")
+        "o_orderkey", X.exact_price(A.price_text()).cast("string").alias("price")
     )
 
 

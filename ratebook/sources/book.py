@@ -16,7 +16,6 @@ from __future__ import annotations
 from datetime import date
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,11 +100,12 @@ class PriceBook:
         )
 
     def _refuse_unknown_content(self) -> None:
-        try:
-            files = self.spark.read.format("binaryFile").load(f"{self.location}/data/*/*")
-            found = not files.select("path").isEmpty()
-        except AnalysisException:  # no such folder
-            found = False
+        # The database's own folder is below the location, so there is something to list.
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        below = f"{self.location.rpartition('/')[2]}/data/"
+        found = not (
+            files.load(self.location).select("path").where(F.col("path").contains(below)).isEmpty()
+        )
         if found:
             raise UnknownContent(
                 f"{self.location} holds data but no pointers; a new book needs an empty folder"
