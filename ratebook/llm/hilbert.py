@@ -40,6 +40,8 @@ RECALL = 0.97
 #: Places of a block of rows, at least and at most, and of a block of queries.
 BLOCK = (4096, 65536)
 QUERY_BLOCK = 1 << 16
+#: Products held at once.
+CELLS = 2_000_000
 
 
 def hilbert_places(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -122,19 +124,21 @@ def _keys(longest: float, curves: int, every: int):
 
 def top(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int,
-    allowed: np.ndarray | None = None,
+    places: tuple[np.ndarray, np.ndarray] | None = None, window: int = 0,
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(query, row, score) of each query's k best rows.
+    """(query, row, score) of each query's k best rows, of those whose places are at most
+    `window` away if places are given.
 
     The product of matrices only preselects, with a margin: scores are summed the same way
     for every pair, so equal vectors have equal scores.
     """
-    for low in range(0, len(queries), 256):
-        part = slice(low, low + 256)
+    step = max(1, CELLS // max(1, len(rows)))
+    for low in range(0, len(queries), step):
+        part = slice(low, low + step)
         rough = queries[part] @ rows.T
         rough[query_ids[part, None] == ids[None, :]] = -np.inf
-        if allowed is not None:
-            rough[~allowed[part]] = -np.inf
+        if places is not None:
+            rough[np.abs(places[0][part, None] - places[1][None, :]) > window] = -np.inf
         count = min(k, rough.shape[1])
         least = -np.partition(-rough, count - 1, axis=1)[:, count - 1]
         margin = 1e-9 * np.maximum(1, np.abs(np.where(np.isfinite(least), least, 0)))
@@ -206,12 +210,10 @@ def _rerank(window: int, k: int):
         rows, queries = left, right
         if not len(rows) or not len(queries):
             return batch_table([])
-        near = np.abs(
-            queries.column("place").to_numpy()[:, None] - rows.column("place").to_numpy()[None, :]
-        ) <= window
+        places = queries.column("place").to_numpy(), rows.column("place").to_numpy()
         found = top(
             queries.column("vec_id").to_numpy(), matrix(queries.column("v")),
-            rows.column("vec_id").to_numpy(), matrix(rows.column("v")), k, near,
+            rows.column("vec_id").to_numpy(), matrix(rows.column("v")), k, places, window,
         )
         return batch_table(
             [batch_of(_FOUND, query_id=q, vec_id=r, score=s) for q, r, s in found]
