@@ -23,7 +23,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 from tokenizers import Tokenizer  # noqa: E402
 
 #: Distinct chunks that a worker keeps.
-KEPT_CHUNKS = 600_000
+KEPT_CHUNKS = 300_000
 
 #: How the vocabulary file's tokenizer cuts a chunk into words.
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
