@@ -37,7 +37,7 @@ BEGINNINGS = (4, 5, 6)
 #: Weight of the penalty on squared coefficients, and steps of the descent.
 RIDGE = 0.1
 STEPS = 400
-KEPT_CHUNKS = 600_000
+KEPT_CHUNKS = 150_000
 
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
 
