@@ -112,17 +112,24 @@ def _digest(ids: np.ndarray, names: list[str]) -> tuple[int, str, str]:
 _ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
-def _encode_plain(path: str):
+def _encode_plain(path: str, digest: bool):
+    """Ids of whole texts, or their digests: those are made where the ids are, which takes
+    one Python worker less and keeps the ids out of the exchange between two."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(WordBpe, path)
         for batch in batches:
             for part in slices(batch, "text"):
                 ids, counts = words.encode(part.column("text"))
+                ends = np.concatenate(([0], np.cumsum(counts)))
+                doc_id = part.column("doc_id")
+                if digest:
+                    yield _digested(path, doc_id, [ids[a:b] for a, b in zip(ends, ends[1:])])
+                    continue
                 lists = pa.LargeListArray.from_arrays(
-                    pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int64()),
-                    pa.array(ids.astype(np.int32)),
+                    pa.array(ends, pa.int64()), pa.array(ids.astype(np.int32))
                 ).cast(pa.list_(pa.int32()))
-                yield batch_of(_ENCODED, doc_id=part.column("doc_id"), ids=lists)
+                yield batch_of(_ENCODED, doc_id=doc_id, ids=lists)
 
     return run
 
@@ -225,19 +232,21 @@ def _join_leaves(path: str):
     return run
 
 
-def encode(
+def _encoded(
     docs: DataFrame,
     path: str,
+    digest: bool,
     id_col: str = "doc_id",
     text_col: str = "text",
     long: int = LONG,
 ) -> DataFrame:
-    """(doc_id, ids), a row for each row of `docs`."""
     prepare(docs.sparkSession)
     plain = texts(docs, id_col, text_col)
     # A symbol is a byte; a run of fewer characters than this holds no long word.
     unsplit = F.col("text").rlike(f"(?<![^ \\n\\t\\r])[^ \\n\\t\\r]{{{max(1, long // 8)},}}")
-    ready = plain.where(~unsplit).mapInArrow(_encode_plain(path), "doc_id long, ids array<int>")
+    ready = plain.where(~unsplit).mapInArrow(
+        _encode_plain(path, digest), _DIGEST_COLUMNS if digest else "doc_id long, ids array<int>"
+    )
     rows = stored(
         plain.where(unsplit).withColumn("row", F.monotonically_increasing_id()), "unsplit-texts"
     )
@@ -251,7 +260,18 @@ def encode(
         .applyInArrow(_join_leaves(path), "row long, ids array<int>")
     )
     # a text of special strings and blanks alone has a row too; an empty one is not unsplit
-    return ready.unionByName(rows.select("row", "doc_id").join(joined, "row").drop("row"))
+    joined = rows.select("row", "doc_id").join(joined, "row").drop("row")
+    return ready.unionByName(digests(joined, path) if digest else joined)
+
+
+def encode(docs: DataFrame, path: str, **options) -> DataFrame:
+    """(doc_id, ids), a row for each row of `docs`."""
+    return _encoded(docs, path, digest=False, **options)
+
+
+def encoded_digests(docs: DataFrame, path: str, **options) -> DataFrame:
+    """`digests` of `encode`."""
+    return _encoded(docs, path, digest=True, **options)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -283,26 +303,27 @@ def _names(path: str) -> np.ndarray:
     return words.by_id
 
 
+_DIGESTED = pa.schema(
+    [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
+     ("decoded_sha256", pa.string())]
+)
+_DIGEST_COLUMNS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def _digested(path: str, doc_id: pa.Array, ids: list[np.ndarray]) -> pa.RecordBatch:
+    names = _names(path)
+    found = [_digest(i, names[i].tolist()) for i in ids]
+    columns = list(zip(*found)) if found else [[]] * 3
+    return batch_of(
+        _DIGESTED, doc_id=doc_id, **dict(zip(_DIGESTED.names[1:], map(list, columns)))
+    )
+
+
 def digests(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoded texts."""
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
-         ("decoded_sha256", pa.string())]
-    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = _names(path)
         for batch in batches:
-            found = [_digest(i, names[i].tolist()) for i in map(_array, batch.column("ids"))]
-            counts, ids, decoded = zip(*found) if found else ((), (), ())
-            yield batch_of(
-                schema,
-                doc_id=batch.column("doc_id"),
-                n_tokens=list(counts),
-                ids_sha256=list(ids),
-                decoded_sha256=list(decoded),
-            )
+            yield _digested(path, batch.column("doc_id"), list(map(_array, batch.column("ids"))))
 
-    return encoded.mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    return encoded.mapInArrow(run, _DIGEST_COLUMNS)

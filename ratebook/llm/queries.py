@@ -88,8 +88,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = word_vocabulary()
-    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return bpe.encoded_digests(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
 @query

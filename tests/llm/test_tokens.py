@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -91,6 +92,11 @@ def test_encode_and_decode(documents, words, odd, corpus):
     digests = {r.doc_id: r for r in bpe.digests(made, words).collect()}
     assert len(digests[20].ids_sha256) == 64 and digests[2].n_tokens == 0
     assert digests[1].decoded_sha256 == digests[2].decoded_sha256
+    at_once = bpe.encoded_digests(documents(rows), words, long=512).collect()
+    assert sorted(map(repr, at_once)) == sorted(map(repr, bpe.digests(made, words).collect()))
+    want = [(i, len(x), hashlib.sha256(np.array(x, "<u4").tobytes()).hexdigest()) for i, x in ids]
+    found = [(r.doc_id, r.n_tokens, r.ids_sha256) for r in at_once]
+    assert ordered(found) == ordered(want)
 
 
 def test_counts_with_overlaps(documents, pieces, odd, corpus):
