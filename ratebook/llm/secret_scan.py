@@ -50,7 +50,10 @@ _SENSITIVE = re.compile(
 _HINTS = ("pass", "secret", "token", "key", "credential", "private", "bearer", "signature",
           "access", "auth", "pwd")
 _ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % SHORTEST)
+#: A whole run without '=', which parts names from values; what pads a run belongs to it.
+_CANDIDATE = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?" % SHORTEST
+)
 
 IDENTIFIERS = (
     "import export public private static final class struct function return const string "
@@ -103,8 +106,6 @@ def novel_spans(
             # the window may cut the string short: take it whole
             start = m.start()
             whole = _CANDIDATE.match(text, start)
-            if start < after or (start and _CANDIDATE.match(text, start - 1)):
-                continue
             after = stop = whole.end()
             string = whole[0]
             if "\n" in text[end:start]:

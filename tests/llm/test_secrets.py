@@ -42,6 +42,21 @@ def test_novelty():
     assert {k for k, *_ in secret_scan.spans(TEXTS[7])} == {"assign"}
 
 
+def novel(text):
+    return [text[a:b] for k, a, b in secret_scan.spans(text) if k == "novel"]
+
+
+def test_names_and_values():
+    aws = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYz3Kd81LqaT"
+    for value in (TOKEN, aws, TOKEN + "=="):
+        for form in (
+            "AWS_SECRET_ACCESS_KEY={}", "PRIVATE_KEY={}", "export pwd={}", "AUTH={} run",
+            "https://example.com/a?x=1&signature={}&y=2", "auth={}", "credential:{}",
+        ):
+            assert novel(form.format(value)) == [value], form
+    assert not novel("AUTH=configuration-settings-2") and not novel("PRIVATE_KEY=" + "ab1" * 20)
+
+
 def test_scan(documents, odd):
     rows = odd + list(TEXTS.items())
     found = secret_scan.digests(secret_scan.scan(documents(rows))).collect()
