@@ -106,10 +106,11 @@ def novel_spans(
             # the window may cut the string short: take it whole
             start = m.start()
             whole = _CANDIDATE.match(text, start)
-            after = stop = whole.end()
+            stop = whole.end()
             string = whole[0]
             if "\n" in text[end:start]:
                 break
+            after = stop
             if not any(c.isdigit() for c in string) or not any(c.isalpha() for c in string):
                 continue
             if any(a < stop and start < b for _, a, b in base):

@@ -57,6 +57,11 @@ def test_names_and_values():
     assert not novel("AUTH=configuration-settings-2") and not novel("PRIVATE_KEY=" + "ab1" * 20)
 
 
+def test_words_on_adjoining_lines():
+    for form in ("private\nsignature: {}", "# auth:\nbearer {}", "access\n\ncredential {} private"):
+        assert novel(form.format(TOKEN)) == [TOKEN], form
+
+
 def test_scan(documents, odd):
     rows = odd + list(TEXTS.items())
     found = secret_scan.digests(secret_scan.scan(documents(rows))).collect()
