@@ -5,7 +5,9 @@ that stands close behind a sensitive word and holds letters and digits: a compre
 primed with identifiers and with the text around the candidate, and the bytes that the
 candidate adds to the compressed output are measured.  Names, words and repeated strings are
 found in the dictionary and cost little; a string that costs `NOVEL` bytes a character or more
-is incompressible, and is reported.
+is incompressible, and is reported.  Random strings over small alphabets, and long ones, need
+fewer bytes: a string that costs `LIKE_RANDOM` of what a random one of its alphabet and length
+costs is reported as well.
 
 Offsets are code points, ends exclusive.  Defined cases: a null or empty text has no spans; a
 null id is kept; repeated rows are scanned each; other columns are not read.
@@ -14,8 +16,10 @@ null id is kept; repeated rows are scanned each; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
+from string import ascii_letters, ascii_lowercase, ascii_uppercase, digits
 
 import pandas as pd
 import pyarrow as pa
@@ -31,6 +35,8 @@ AROUND = 512
 CONTEXT = 48
 #: Compressed bytes a character from which a candidate counts as incompressible.
 NOVEL = 0.8
+#: The same as a part of what a random string over the candidate's own alphabet costs.
+LIKE_RANDOM = 0.85
 SHORTEST = 16
 
 # The base patterns.
@@ -55,6 +61,18 @@ _CANDIDATE = re.compile(
     r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?" % SHORTEST
 )
 
+#: Letters and digits of usual encodings, smaller sets first.
+_ALPHABETS = (
+    "0123456789abcdef",
+    "0123456789ABCDEF",
+    "0123456789abcdefABCDEF",
+    "234567" + ascii_lowercase,
+    "234567" + ascii_uppercase,
+    digits + ascii_lowercase,
+    digits + ascii_uppercase,
+    digits + ascii_letters,
+)
+
 IDENTIFIERS = (
     "import export public private static final class struct function return const string "
     "integer boolean config configuration settings environment variable default example "
@@ -91,10 +109,27 @@ def cost(candidate: bytes, primer: bytes) -> int:
     return len(press.compress(candidate)) - len(press.compress(b""))
 
 
+def random_like(string: str) -> str:
+    """A random string of the same length over the string's alphabet; always the same one."""
+    used = set(string)
+    plain = {c for c in used if c.isalnum()}
+    alphabet = next(a for a in _ALPHABETS if plain.issubset(a)) + "".join(sorted(used - plain))
+    return "".join(random.Random(len(string)).choices(alphabet, k=len(string)))
+
+
+def novel(string: str, primer: str) -> bool:
+    """Whether the string is about as incompressible as a random one."""
+    known = primer.encode()
+    bytes_ = cost(string.encode(), known)
+    return bytes_ >= NOVEL * len(string) or (
+        bytes_ >= LIKE_RANDOM * cost(random_like(string).encode(), known)
+    )
+
+
 def novel_spans(
     text: str, base: list[tuple[str, int, int]], identifiers: str = IDENTIFIERS
 ) -> list[tuple[str, int, int]]:
-    """Incompressible strings near sensitive words that no base span touches."""
+    """Incompressible strings near sensitive words that no base span covers whole."""
     low = text.lower()
     if not any(hint in low for hint in _HINTS):
         return []
@@ -113,10 +148,10 @@ def novel_spans(
             after = stop
             if not any(c.isdigit() for c in string) or not any(c.isalpha() for c in string):
                 continue
-            if any(a < stop and start < b for _, a, b in base):
+            if any(a <= start and stop <= b for _, a, b in base):
                 continue
             around = text[max(0, start - AROUND) : start] + text[stop : stop + AROUND]
-            if cost(string.encode(), (identifiers + around).encode()) >= NOVEL * len(string):
+            if novel(string, identifiers + around):
                 found.append(("novel", start, stop))
     return found
 

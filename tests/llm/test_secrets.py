@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import string
 
 from ratebook.llm import secret_scan
 
@@ -62,6 +63,25 @@ def test_words_on_adjoining_lines():
         assert novel(form.format(TOKEN)) == [TOKEN], form
 
 
+def test_alphabets_and_lengths():
+    alphabets = ("0123456789ABCDEF", string.ascii_uppercase + "234567", string.ascii_lowercase + string.digits,
+                 string.ascii_letters + string.digits + "+/")
+    for alphabet in alphabets:
+        for size in (32, 64, 128, 400, 2000):
+            for _ in range(5):
+                value = "".join(RANDOM.choice(alphabet) for _ in range(size - 2)) + "A7"
+                if alphabet[0] == "a" and len(alphabet) == 36:
+                    value = value.lower()
+                assert novel("private_key: " + value) == [value], (alphabet, size)
+    # a base span inside does not hide the rest
+    mixed = "9F" * 3 + "0123456789" * 3 + "".join(RANDOM.choice(alphabets[0]) for _ in range(200))
+    assert novel("private_key: " + mixed) == [mixed]
+    # repeated, listed and spelled out is not random, however small the alphabet
+    for known in ("A1" * 100, "-" * 60 + "a1", "0123456789ABCDEF" * 8, "a1b2c3d4" * 30,
+                  "the-configuration-settings-of-the-default-environment-2-" * 4):
+        assert not novel("private_key: " + known), known
+
+
 def test_scan(documents, odd):
     rows = odd + list(TEXTS.items())
     found = secret_scan.digests(secret_scan.scan(documents(rows))).collect()
