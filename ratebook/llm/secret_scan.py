@@ -1,8 +1,10 @@
 """Secret scans: three fixed patterns, and zstandard novelty for what they miss.
 
 The patterns give the base spans.  Novelty looks at every other long string without blanks
-that stands close behind a sensitive word and holds letters and digits: a compressor is
-primed with identifiers and with the text around the candidate, and the bytes that the
+that holds letters and digits and has a sensitive word within `AROUND` characters before or
+behind it, on whatever line, or as a part of its own name.  Strings that follow each other line
+by line, as a wrapped value does, are near what any of them is near; all of a PEM block of a
+private key is near.  A compressor is primed with identifiers and with the text around the candidate, and the bytes that the
 candidate adds to the compressed output are measured.  Names, words and repeated strings are
 found in the dictionary and cost little; a string that costs `NOVEL` bytes a character or more
 is incompressible, and is reported.  Random strings over small alphabets, and long ones, need
@@ -18,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from string import ascii_letters, ascii_lowercase, ascii_uppercase, digits
 
@@ -30,9 +33,8 @@ from pyspark.sql import functions as F
 from ratebook.llm.common import batch_of, prepare, texts
 
 KINDS = ("assign", "access", "hex", "novel")
-#: Characters around a candidate that prime the compressor, and that may hold its context.
+#: Characters on each side of a candidate that prime the compressor, and that are its context.
 AROUND = 512
-CONTEXT = 48
 #: Compressed bytes a character from which a candidate counts as incompressible.
 NOVEL = 0.8
 #: The same as a part of what a random string over the candidate's own alphabet costs.
@@ -61,6 +63,10 @@ _CANDIDATE = re.compile(
     r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?" % SHORTEST
 )
 
+#: Between the strings of a wrapped value: one line break at least, or the backslash of one.
+_WRAP = re.compile(r"""["',;+\x20\t\r]*[\n\\][\s"'\\>#*|+]*""", re.ASCII)
+_PEM = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY[A-Z ]*-----.*?(?:-----END|\Z)", re.DOTALL)
+
 #: Letters and digits of usual encodings, smaller sets first.
 _ALPHABETS = (
     "0123456789abcdef",
@@ -126,6 +132,70 @@ def novel(string: str, primer: str) -> bool:
     )
 
 
+class _Places:
+    """Disjoint intervals in order."""
+
+    def __init__(self, found: list[tuple[int, int]]) -> None:
+        self.starts = [a for a, _ in found]
+        self.ends = [b for _, b in found]
+
+    def around(self, start: int, stop: int) -> bool:
+        """Whether one of them holds all of start to stop."""
+        k = bisect_right(self.starts, start) - 1
+        return k >= 0 and stop <= self.ends[k]
+
+
+def _united(found: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """Spans that overlap or touch as one."""
+    runs: list[tuple[int, int]] = []
+    for _, start, end in sorted(found, key=lambda s: s[1:]):
+        if runs and start <= runs[-1][1]:
+            runs[-1] = runs[-1][0], max(runs[-1][1], end)
+        else:
+            runs.append((start, end))
+    return runs
+
+
+class _Context:
+    """Where a text speaks of secrets."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.words = _Places([m.span() for m in _SENSITIVE.finditer(text)])
+        self.pem = _Places([m.span() for m in _PEM.finditer(text)])
+
+    def any(self, block: list[tuple[int, int]]) -> bool:
+        """Whether a sensitive word is near a block of candidates.
+
+        Letters of a candidate that happen to spell a word are none: it has to stand alone.
+        """
+        start, stop = block[0][0], block[-1][1]
+        starts, ends = self.words.starts, self.words.ends
+        first, behind = bisect_left(starts, start), bisect_left(starts, stop)
+        return (
+            (first > 0 and start - ends[first - 1] <= AROUND)
+            or (behind < len(starts) and starts[behind] - stop <= AROUND)
+            or self.pem.around(start, start)
+            or any(self._alone(k) for k in range(first, behind))
+        )
+
+    def _alone(self, k: int) -> bool:
+        a, b = self.words.starts[k], self.words.ends[k]
+        return not self.text[max(0, a - 1) : a].isalnum() and not self.text[b : b + 1].isalnum()
+
+
+def _wrapped(text: str) -> Iterator[list[tuple[int, int]]]:
+    """The candidates of a text, those of one wrapped value together."""
+    block: list[tuple[int, int]] = []
+    for m in _CANDIDATE.finditer(text):
+        if block and not _WRAP.fullmatch(text, block[-1][1], m.start()):
+            yield block
+            block = []
+        block.append(m.span())
+    if block:
+        yield block
+
+
 def novel_spans(
     text: str, base: list[tuple[str, int, int]], identifiers: str = IDENTIFIERS
 ) -> list[tuple[str, int, int]]:
@@ -133,22 +203,17 @@ def novel_spans(
     low = text.lower()
     if not any(hint in low for hint in _HINTS):
         return []
+    near = _Context(text)
+    covered = _Places(_united(base))
     found = []
-    contexts = [m.end() for m in _SENSITIVE.finditer(text)]
-    after = 0
-    for end in contexts:
-        for m in _CANDIDATE.finditer(text, max(end, after), min(len(text), end + CONTEXT)):
-            # the window may cut the string short: take it whole
-            start = m.start()
-            whole = _CANDIDATE.match(text, start)
-            stop = whole.end()
-            string = whole[0]
-            if "\n" in text[end:start]:
-                break
-            after = stop
+    for block in _wrapped(text):
+        if not near.any(block):
+            continue
+        for start, stop in block:
+            string = text[start:stop]
             if not any(c.isdigit() for c in string) or not any(c.isalpha() for c in string):
                 continue
-            if any(a <= start and stop <= b for _, a, b in base):
+            if covered.around(start, stop):
                 continue
             around = text[max(0, start - AROUND) : start] + text[stop : stop + AROUND]
             if novel(string, identifiers + around):
@@ -216,13 +281,7 @@ def digests(found: DataFrame) -> DataFrame:
 def redacted(text: str) -> str:
     """The text with every span (overlapping ones as one) replaced by a mark."""
     out, at = [], 0
-    runs: list[list[int]] = []
-    for _, start, end in sorted(spans(text), key=lambda s: s[1:]):
-        if runs and start <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], end)
-        else:
-            runs.append([start, end])
-    for start, end in runs:
+    for start, end in _united(spans(text)):
         out += [text[at:start], "[SECRET]"]
         at = end
     return "".join([*out, text[at:]])

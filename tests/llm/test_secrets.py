@@ -82,6 +82,32 @@ def test_alphabets_and_lengths():
         assert not novel("private_key: " + known), known
 
 
+def test_contexts():
+    for form in (
+        "private_key:\n  {}\n", "password for the host\n\n{}", '{{"value": "{}", "type": "credential"}}',
+        "credential # a comment of many words that goes on for much longer than a few of them: {}",
+        "{} is the bearer value", "x-auth-{}", "x" * 500 + "\nsignature " + "word " * 90 + "{}",
+    ):
+        (got,) = novel(form.format(TOKEN))
+        assert got.endswith(TOKEN), form
+    far = " word" * 120
+    assert not novel("token" + far + "\n" + TOKEN + far + " token")
+    assert not novel(TOKEN[:20] + "pwd" + TOKEN[20:])
+
+
+def test_wrapped_values():
+    alphabet = string.ascii_letters + string.digits + "+/"
+    lines = ["".join(RANDOM.choice(alphabet) for _ in range(62)) + "A7" for _ in range(40)]
+    for before, between, behind in (
+        ("-----BEGIN RSA PRIVATE KEY-----\n", "\n", "\n-----END RSA PRIVATE KEY-----"),
+        ("-----BEGIN PRIVATE KEY-----\n", "\n  1234 | ", "\n-----END PRIVATE KEY-----"),
+        ("credential: |\n  ", "\r\n  ", "\n"), ('auth = ("', '"\n  "', '")'),
+        ("", "\n", "\nis the bearer value"),
+    ):
+        assert novel(before + between.join(lines) + behind) == lines, between
+    assert not novel("-----BEGIN CERTIFICATE-----\n" + "\n".join(lines) + "\n-----END CERTIFICATE-----")
+
+
 def test_scan(documents, odd):
     rows = odd + list(TEXTS.items())
     found = secret_scan.digests(secret_scan.scan(documents(rows))).collect()
