@@ -15,7 +15,11 @@ every byte.
    passage begins or ends, or where copies differ.  Their bytes are fetched, windows whose
    hash nothing else has are trimmed away, equal remainders are merged, and a suffix array
    (`lyndon`) over the rest puts equal windows next to each other.  They are compared byte by
-   byte; all but the first are removed.
+   byte; all but the first are removed.  An anchor with more than `MANY` such blocks is dealt
+   to parts of about `MANY`, each judged like an anchor.  The first windows of the parts are
+   counted by (anchor, distance from it, hash) in Spark, those that no other part has are
+   dropped, and the rest meet in groups of about `MANY`, each with the first of its windows.
+   No Python task holds the whole of such an anchor.
 4. Removed windows are merged per text.
 
 A text of more than `SEGMENT` bytes is read in overlapping segments, which cuts blocks but
@@ -50,6 +54,8 @@ _POSITION = np.uint64((1 << 20) - 1)
 KEPT_ANCHORS = 1_500_000
 #: Bytes of block text that go into one suffix array, whole anchors at a time.
 SORTED_BYTES = 200_000
+#: Different blocks of one anchor that still meet in one task.
+MANY = 2048
 
 _U = np.uint64
 _BASES = (_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F))
@@ -238,10 +244,13 @@ def _anchors(length: int, kgram: int):
     return run
 
 
+_EDGES_COLUMNS = "key long, did long, sig long, start long, ahead long, bytes binary"
 _EDGES = pa.schema(
     [("key", pa.int64()), ("did", pa.int64()), ("sig", pa.int64()), ("start", pa.int64()),
      ("ahead", pa.int64()), ("bytes", pa.binary())]
 )
+#: `parts`: to how many groups the blocks of the anchor are dealt.
+_FETCHED = _EDGES.append(pa.field("parts", pa.int64()))
 
 
 def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,7 +270,7 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the blocks that a text has."""
     press = zstandard.ZstdDecompressor()
     for batch in batches:
-        out = {name: [] for name in _EDGES.names}
+        out = {name: [] for name in _FETCHED.names}
         for did, sig, packed, edges in zip(
             *(batch.column(c).to_pylist() for c in ("did", "sig", "packed", "edges"))
         ):
@@ -269,11 +278,24 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for edge in edges:
                 start = edge["start"]
                 block = raw[start : edge["end"]]
-                for name, value in zip(
-                    _EDGES.names, (edge["key"], did, sig, start, edge["ahead"], block)
-                ):
+                row = (edge["key"], did, sig, start, edge["ahead"], block, edge["parts"])
+                for name, value in zip(_FETCHED.names, row):
                     out[name].append(value)
-        yield batch_of(_EDGES, **out)
+        yield batch_of(_FETCHED, **out)
+
+
+def _windows_of(raw: list[bytes], length: int):
+    """(all blocks joined, where each begins, place, block and hash of every window)."""
+    sizes = np.array([len(b) for b in raw], np.int64)
+    joined = b"".join(raw)
+    begin = np.cumsum(sizes) - sizes
+    count = sizes - length + 1
+    at = ragged(begin, count)
+    owner = np.repeat(np.arange(len(raw)), count)
+    hashed = Rolling(np.frombuffer(joined, np.uint8).astype(np.uint64), _BASES[1]).of(
+        at, at + length
+    )
+    return joined, begin, at, owner, hashed
 
 
 _REMOVED = pa.schema(
@@ -287,15 +309,7 @@ def repeated_windows(table: pa.Table, length: int) -> pa.RecordBatch:
         table.column(c).to_numpy() for c in ("key", "did", "sig", "start", "ahead")
     )
     raw = table.column("bytes").to_pylist()
-    sizes = np.array([len(b) for b in raw], np.int64)
-    joined = b"".join(raw)
-    begin = np.cumsum(sizes) - sizes
-    count = sizes - length + 1
-    at = ragged(begin, count)
-    owner = np.repeat(np.arange(len(raw)), count)
-    hashed = Rolling(np.frombuffer(joined, np.uint8).astype(np.uint64), _BASES[1]).of(
-        at, at + length
-    )
+    joined, begin, at, owner, hashed = _windows_of(raw, length)
     # windows that meet another one under their anchor, at the same distance from it
     distance = ahead[owner] - (at - begin[owner])
     order = np.lexsort((hashed, distance, key[owner]))
@@ -369,7 +383,37 @@ def _sorted_windows(found: list[tuple[int, int, int, bytes]], length: int):
     return gone
 
 
-def _sort_edges(length: int, sorted_bytes: int):
+def first_windows(table: pa.Table, length: int) -> pa.RecordBatch:
+    """What is removed within parts of anchors (without bytes, `ahead` is the end), and the
+    windows that are first there, each as a block under its anchor, distance and hash."""
+    gone = repeated_windows(table, length)
+    anchor, did, sig, start, ahead = (
+        table.column(c).to_numpy() for c in ("anchor", "did", "sig", "start", "ahead")
+    )
+    joined, begin, at, owner, hashed = _windows_of(table.column("bytes").to_pylist(), length)
+    offset = at - begin[owner]
+    distance = ahead[owner] - offset
+    key = mixed(anchor.view(np.uint64)[owner] + distance.astype(np.uint64) * _BASES[0])
+    key = mixed(key ^ hashed).view(np.int64)
+    did, sig, start = did[owner], sig[owner], start[owner] + offset
+    part = table.column("key").to_numpy()[owner]
+    order = np.lexsort((start, did, key, part))
+    k, p = key[order], part[order]
+    fresh = np.concatenate(([True], (k[1:] != k[:-1]) | (p[1:] != p[:-1])))
+    head = order[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
+    left = order[(did[order] == did[head]) & (start[order] == start[head])]
+    return batch_of(
+        _EDGES,
+        key=np.concatenate((np.zeros(len(gone), np.int64), key[left])),
+        did=np.concatenate((gone.column("did").to_numpy(), did[left])),
+        sig=np.concatenate((gone.column("sig").to_numpy(), sig[left])),
+        start=np.concatenate((gone.column("start").to_numpy(), start[left])),
+        ahead=np.concatenate((gone.column("end").to_numpy(), distance[left])),
+        bytes=[None] * len(gone) + [joined[a : a + length] for a in at[left].tolist()],
+    )
+
+
+def _sort_edges(length: int, sorted_bytes: int, judge=repeated_windows):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Batches come ordered by key; whole keys are taken until there are enough bytes."""
         waiting: list[pa.RecordBatch] = []
@@ -383,17 +427,19 @@ def _sort_edges(length: int, sorted_bytes: int):
             keys = table.column("key").to_numpy()
             cut = int(np.searchsorted(keys, keys[-1]))
             if cut:
-                yield from _runs(table.slice(0, cut), length, sorted_bytes)
+                yield from _runs(table.slice(0, cut), length, sorted_bytes, judge)
                 table = table.slice(cut)
             waiting = table.to_batches()
             size = sum(len(b) for b in table.column("bytes").to_pylist())
         if waiting:
-            yield from _runs(pa.Table.from_batches(waiting), length, sorted_bytes)
+            yield from _runs(pa.Table.from_batches(waiting), length, sorted_bytes, judge)
 
     return run
 
 
-def _runs(table: pa.Table, length: int, sorted_bytes: int) -> Iterator[pa.RecordBatch]:
+def _runs(
+    table: pa.Table, length: int, sorted_bytes: int, judge
+) -> Iterator[pa.RecordBatch]:
     keys = table.column("key").to_numpy()
     sizes = np.cumsum(pc.binary_length(table.column("bytes")).to_numpy())
     start = 0
@@ -401,22 +447,12 @@ def _runs(table: pa.Table, length: int, sorted_bytes: int) -> Iterator[pa.Record
         reached = sizes[start - 1] if start else 0
         end = min(int(np.searchsorted(sizes, reached + sorted_bytes)) + 1, len(keys))
         end = int(np.searchsorted(keys, keys[end - 1], side="right"))
-        yield repeated_windows(table.slice(start, end - start), length)
+        yield judge(table.slice(start, end - start), length)
         start = end
 
 
-def repeats(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    length: int = LENGTH,
-    kgram: int = KGRAM,
-) -> DataFrame:
-    """(did, sig, spans): the removed byte runs of every text that has some."""
-    if not 0 < kgram <= length < 1 << _REACH:
-        raise ValueError("anchors are at most as long as the strings, and those under 4096 bytes")
-    prepare(docs.sparkSession)
-    rows = keyed(docs, id_col, text_col)
+def _judged(rows: DataFrame, length: int, kgram: int) -> DataFrame:
+    """Blocks that are `gone` as a whole, and the first ones of anchors with several."""
     found = rows.mapInArrow(_anchors(length, kgram), _FOUND_COLUMNS).repartition("key")
     found = found.withColumn("removed", F.col("place") < 0)
     anchor = Window.partitionBy("key", "removed")
@@ -425,13 +461,15 @@ def repeats(
         found.withColumn("rank", F.rank().over(by_place))
         .withColumn("least", F.min("content").over(anchor))
         .withColumn("most", F.max("content").over(anchor))
+        .withColumn("firsts", F.count(F.when(F.col("rank") == 1, 1)).over(anchor))
         .withColumn("gone", F.col("removed") | (F.col("rank") > 1))
         .where("gone or least < most")
-        .select("gone", "removed", "key", "content", "did", "sig", "place"),
+        .withColumn("parts", F.ceil(F.col("firsts") / F.lit(MANY)))
+        .select("gone", "removed", "parts", "key", "content", "did", "sig", "place"),
         "blocks",
     )
     position, before, after = _unpacked(F.col("place"))
-    judged = judged.withColumns(
+    return judged.withColumns(
         {
             "start": F.when(F.col("removed"), -1 - F.col("place")).otherwise(position - before),
             "end": F.when(F.col("removed"), F.col("content") - 1 - F.col("place")).otherwise(
@@ -440,25 +478,88 @@ def repeats(
             "ahead": before,
         }
     )
-    whole = judged.where("gone").select("did", "sig", "start", "end")
+
+
+def _grouped(edges: DataFrame) -> DataFrame:
+    return edges.repartition("key").sortWithinPartitions("key")
+
+
+def _parting(rows: DataFrame, judged: DataFrame, length: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The bytes of the blocks left to compare, those of one key together; and what the parts
+    of crowded anchors have removed already."""
     edges = (
         judged.where("not gone")
         .groupBy("did", "sig")
-        .agg(F.collect_list(F.struct("key", "start", "end", "ahead")).alias("edges"))
+        # rows that repeat id and text repeat their blocks
+        .agg(F.collect_set(F.struct("key", "start", "end", "ahead", "parts")).alias("edges"))
     )
-    columns = "key long, did long, sig long, start long, ahead long, bytes binary"
-    partial = (
+    fetched = (
         rows.where(F.octet_length("text") >= length)
         .mapInArrow(_compressed, "did long, sig long, packed binary")
         .join(edges, ["did", "sig"])
         .select("did", "sig", "packed", "edges")
-        .mapInArrow(_fetch, columns)
-        # rows that repeat id and text repeat their blocks
-        .repartition("key")
-        .sortWithinPartitions("key")
-        .mapInArrow(
-            _sort_edges(length, SORTED_BYTES), "did long, sig long, start long, end long"
-        )
+        .mapInArrow(_fetch, f"{_EDGES_COLUMNS}, parts long")
+    )
+    if judged.where("not gone and parts > 1").isEmpty():
+        return _grouped(fetched.drop("parts")), []
+    fetched = stored(fetched, "edges")
+    crowded = (
+        fetched.where("parts > 1")
+        .dropDuplicates(["key", "did", "sig", "start"])
+        .withColumn("anchor", F.col("key"))
+        .withColumn("part", F.pmod(F.xxhash64("did", "sig", "start"), "parts"))
+        .withColumn("key", F.xxhash64("key", "part"))
+    )
+    judge = _sort_edges(length, SORTED_BYTES, first_windows)
+    firsts = stored(
+        _grouped(crowded.drop("part", "parts")).mapInArrow(judge, _EDGES_COLUMNS), "windows"
+    )
+    gone = firsts.where("bytes is null").select("did", "sig", "start", F.col("ahead").alias("end"))
+    light = fetched.where("parts = 1").drop("parts")
+    return _grouped(light.unionByName(_shared(firsts.where("bytes is not null"), MANY))), [gone]
+
+
+def _shared(windows: DataFrame, many: int) -> DataFrame:
+    """Windows that meet others of their key, in groups of about `many`."""
+    found = stored(
+        windows.groupBy("key")
+        .agg(F.count("*").alias("n"), F.min(F.struct("did", "start", "sig")).alias("first"))
+        .where("n > 1"),
+        "shared",
+    )
+    groups = F.ceil(F.col("n") / F.lit(many)).cast("int")
+    own = F.pmod(F.xxhash64("did", "sig", "start"), groups).cast("int")
+    # the first goes to all groups of its windows
+    group = F.when(
+        F.struct("did", "start", "sig") == F.col("first"), F.sequence(F.lit(0), groups - 1)
+    ).otherwise(F.array(own))
+    return (
+        windows.join(found, "key")
+        .withColumn("group", F.explode(group))
+        .withColumn("key", F.xxhash64("key", "group"))
+        .select(_EDGES.names)
+    )
+
+
+def repeats(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = LENGTH,
+    kgram: int = KGRAM,
+) -> DataFrame:
+    """(did, sig, spans): the removed byte runs of every text that has some."""
+    if not 0 < kgram <= length < 1 << _REACH:
+        raise ValueError("anchors are at most as long as the strings, and those under 4096 bytes")
+    prepare(docs.sparkSession)
+    rows = keyed(docs, id_col, text_col)
+    judged = _judged(rows, length, kgram)
+    whole = judged.where("gone").select("did", "sig", "start", "end")
+    edges, within = _parting(rows, judged, length)
+    for part in within:
+        whole = whole.unionByName(part)
+    partial = edges.mapInArrow(
+        _sort_edges(length, SORTED_BYTES), "did long, sig long, start long, end long"
     )
     return (
         whole.unionByName(partial)

@@ -75,6 +75,23 @@ def test_short_strings_and_small_runs(documents, monkeypatch):
     assert found(documents(rows), length=16, kgram=6) == brute_force(rows, 16)
 
 
+def test_crowded_anchors_are_dealt_to_groups(documents, odd, monkeypatch):
+    """No group of blocks is much larger than `MANY`, whatever an anchor has."""
+    monkeypatch.setattr(suffix_dedup, "MANY", 8)
+    rng = random.Random(8)
+    rows = odd + list(passages(rng, 120, 140))
+    rows += [(None, rows[20][1])] * 3 + [(1001, t) for _, t in rows[30:33]] + rows[40:42]
+    docs = documents(rows)
+    assert found(docs) == brute_force(rows, 100)
+    keyed = suffix_dedup.keyed(docs)
+    judged = suffix_dedup._judged(keyed, 100, suffix_dedup.KGRAM)
+    assert judged.where("not gone").groupBy("key").count().agg({"count": "max"}).first()[0] > 50
+    edges, within = suffix_dedup._parting(keyed, judged, 100)
+    groups = edges.groupBy("key").count().collect()
+    assert within[0].count()
+    assert len(groups) > 8 and max(r["count"] for r in groups) <= 3 * 8
+
+
 def test_texts_without_repeats(documents):
     rows = [(1, "é" * 60 + "A"), (2, "_" + "é" * 60 + "B"), (3, None), (4, ""), (None, "z")]
     docs = documents(rows)
