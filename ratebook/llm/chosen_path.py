@@ -42,9 +42,6 @@ RECALL = 0.999
 T = 64
 LEAF = 256
 DEPTH = 3
-#: Of `T` tokens, how many two records share at least to become a candidate: four standard
-#: deviations below what similarity 0.8 gives.
-SHARED = 38
 #: Records of a class that are compared in one matrix.
 BLOCK = 256
 
@@ -77,9 +74,18 @@ def runs_for(recall: float, depth: int) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - survival(depth)))
 
 
+def least_shared(similarity: float) -> int:
+    """Of `T` tokens, how many two records share at least to become a candidate: four standard
+    deviations below what the similarity gives."""
+    spread = math.sqrt(T * similarity * (1 - similarity))
+    return max(1, math.floor(T * similarity - 4 * spread))
+
+
 def roots(recall: float, depth: int, similarity: float) -> np.ndarray:
     """The coordinates that all runs pick at their roots; each is picked once."""
-    count = min(T, math.ceil(runs_for(recall, depth) / similarity))
+    count = math.ceil(runs_for(recall, depth) / similarity)
+    if count > T:
+        raise ValueError(f"{count} coordinates are needed and a sketch has {T}: see T")
     return np.random.default_rng(7).permutation(T)[:count]
 
 
@@ -176,6 +182,7 @@ _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 def _compare(similarity: float):
     """Candidate links inside leaves; batches come ordered by node."""
+    least = least_shared(similarity)
 
     def links(table: pa.Table, forest: Forest) -> Iterator[pa.RecordBatch]:
         batch = table.combine_chunks().to_batches()[0]
@@ -191,7 +198,7 @@ def _compare(similarity: float):
             near = at[np.minimum(a, b) >= similarity * np.maximum(a, b)]
             for k in range(0, len(near), 20_000):
                 x = near[k : k + 20_000]
-                x = x[(sketch[x] == sketch[x + shift]).sum(axis=1) >= SHARED]
+                x = x[(sketch[x] == sketch[x + shift]).sum(axis=1) >= least]
                 for i, j in zip(sid[x].tolist(), sid[x + shift].tolist()):
                     if forest.join(i, j):
                         out.append((i, j))

@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from ratebook.llm import chosen_path
 from ratebook.llm.components import components
@@ -95,6 +96,26 @@ def test_runs_reach_the_recall():
     assert (1 - chosen_path.survival(3)) ** (runs - 1) > 0.001
 
 
+def test_lower_similarity(documents):
+    """Pairs that share 0.536 of their shingles, looked for at 0.5."""
+    rng = random.Random(12)
+    rows = []
+    for k in range(40):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+        other = [f"o{n}" if n % 15 == 8 and n < 105 else w for n, w in enumerate(words)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    a, b = shingles(rows[0][1]), shingles(rows[1][1])
+    assert 0.5 < len(a & b) / len(a | b) < 0.55
+    assert found(documents(rows), similarity=0.5) == [(n, n - n % 2, 1) for n in range(80)]
+
+
+def test_limits_follow_the_similarity():
+    assert chosen_path.least_shared(0.8) == 38 and chosen_path.least_shared(0.5) == 16
+    assert len(chosen_path.roots(0.999, 3, 0.8)) <= chosen_path.T
+    with pytest.raises(ValueError):
+        chosen_path.roots(0.999, 3, 0.1)
+
+
 def test_exact_links():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 40, 30)).astype(np.uint64) for _ in range(25)]
