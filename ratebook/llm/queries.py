@@ -19,6 +19,7 @@ from ratebook.llm import (
     suffix_dedup,
     token_counts,
     toxicity,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,5 +102,12 @@ def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # null where a long is too short; the operator's own column holds it exactly
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 ORACLE["op3_pivot_search"] = pivots.SQL
 ORACLE["op6_perspectives"] = chat.SQL
