@@ -13,6 +13,7 @@ from ratebook.llm import (
     chat,
     chosen_path,
     hilbert,
+    merkle,
     packing,
     pivots,
     secret_scan,
@@ -102,6 +103,11 @@ def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
@@ -111,3 +117,4 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op3_pivot_search"] = pivots.SQL
 ORACLE["op6_perspectives"] = chat.SQL
+ORACLE["op11_merkle_manifest"] = merkle.SQL
