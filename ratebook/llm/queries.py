@@ -12,6 +12,7 @@ from ratebook.llm import (
     bpe,
     chat,
     chosen_path,
+    fertility,
     hilbert,
     merkle,
     packing,
@@ -31,6 +32,10 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def piece_vocabulary() -> str:
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def byte_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
@@ -108,6 +113,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.judged(table(spark, sf_dir, "documents"), piece_vocabulary())
+
+
 @query
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
