@@ -7,7 +7,7 @@ model learns how far it can trust an earlier one.
 
 A text's features are its distinct words and their beginnings of 4 to 6 letters.  Those that
 tell the categories apart best (chi-squared) on the training texts are kept: `FEATURES` for
-each category.  Training reads at most `TRAINING` labelled texts, chosen by a hash of the id;
+each category.  A model that is to judge a fold chooses its features without that fold, too.  Training reads at most `TRAINING` labelled texts, chosen by a hash of the id;
 every text is scored whole.
 
 Defined cases: a null or empty text has no features; a null id is kept; of repeated ids one
@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratebook.llm.common import batch_of, prepare, stored, texts
@@ -34,8 +34,9 @@ TRAINING = 8_000
 FEATURES = 400
 FOLDS = 5
 BEGINNINGS = (4, 5, 6)
-#: Weight of the penalty on squared coefficients, and steps of the descent.
-RIDGE = 0.1
+#: Weight of the penalty on squared coefficients (chosen on held-out texts), and steps of the
+#: descent.
+RIDGE = 3.0
 STEPS = 400
 KEPT_CHUNKS = 150_000
 
@@ -94,6 +95,12 @@ class Table:
         at = np.flatnonzero(chosen)
         return Table([self.found[k] for k in at], self.size, self.dense[at])
 
+    def only(self, places: np.ndarray) -> Table:
+        """The same texts, with these of their features alone."""
+        kept = np.zeros(self.size, bool)
+        kept[places] = True
+        return Table([f[kept[f]] for f in self.found], self.size, self.dense)
+
     def beside(self, column: np.ndarray) -> Table:
         return Table(self.found, self.size, np.column_stack((self.dense, column)))
 
@@ -168,51 +175,121 @@ class Chain:
         return score(text)
 
 
-def train_chain(x: Table, y: np.ndarray, folds: np.ndarray) -> list[np.ndarray]:
-    """One row of coefficients a category; y has a column a category (nan: no label)."""
+def train_chain(
+    x: Table, y: np.ndarray, folds: np.ndarray, chosen: list[np.ndarray] | None = None
+) -> list[np.ndarray]:
+    """One row of coefficients a category; y has a column a category (nan: no label).
+
+    `chosen` has the features chosen without each fold, and after them those of all texts.
+    """
+    every = np.arange(x.size)
+    chosen = chosen or [every] * (FOLDS + 1)
     weights = []
     for k in range(y.shape[1]):
         known = ~np.isnan(y[:, k])
-        weights.append(fit(x.where(known), y[known, k]))
+        weights.append(fit(x.only(chosen[FOLDS]).where(known), y[known, k]))
         if k + 1 < y.shape[1]:
             held = np.zeros(len(x))
             for fold in range(FOLDS):
                 own = folds == fold
-                w = fit(x.where(known & ~own), y[known & ~own, k])
-                held[own] = logistic(x.where(own).scores(w))
+                seen = x.only(chosen[fold])
+                w = fit(seen.where(known & ~own), y[known & ~own, k])
+                held[own] = logistic(seen.where(own).scores(w))
             x = x.beside(held)
     return weights
 
 
-_COUNTS = "feature string, category int, positive long, negative long"
+_COUNTS = "feature string, category int, fold int, positive long, negative long"
 
 
-def _count_features(categories: int):
+def _count_features():
     schema = pa.schema(
-        [("feature", pa.string()), ("category", pa.int32()), ("positive", pa.int64()),
-         ("negative", pa.int64())]
+        [("feature", pa.string()), ("category", pa.int32()), ("fold", pa.int32()),
+         ("positive", pa.int64()), ("negative", pa.int64())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
-            for text, labels in zip(*(batch.column(c).to_pylist() for c in ("text", "labels"))):
+            columns = (batch.column(c).to_pylist() for c in ("text", "labels", "fold"))
+            for text, labels, fold in zip(*columns):
                 found = set().union(*map(features_of, set(text.lower().split())))
                 for k, label in enumerate(labels):
                     if label is not None:
-                        counts.update((f, k, int(label)) for f in found)
-        keys = sorted({(f, k) for f, k, _ in counts})
+                        counts.update((f, k, fold, int(label)) for f in found)
+        keys = sorted({key[:3] for key in counts})
         yield batch_of(
             schema,
-            feature=[f for f, _ in keys],
-            category=[k for _, k in keys],
-            positive=[counts[f, k, 1] for f, k in keys],
-            negative=[counts[f, k, 0] for f, k in keys],
+            feature=[f for f, _, _ in keys],
+            category=[k for _, k, _ in keys],
+            fold=[fold for _, _, fold in keys],
+            positive=[counts[(*key, 1)] for key in keys],
+            negative=[counts[(*key, 0)] for key in keys],
         )
 
     return run
 
 
+def _chosen_features(sample: DataFrame, categories: int, features: int) -> list[set[str]]:
+    """The best features without each fold, and after them those of all texts."""
+    labels = [F.col("labels")[k] for k in range(categories)]
+    seen = {
+        r["fold"]: r
+        for r in sample.groupBy("fold")
+        .agg(
+            F.array(*(F.coalesce(F.sum(v), F.lit(0)) for v in labels)).alias("p"),
+            F.array(*map(F.count, labels)).alias("n"),
+        )
+        .collect()
+    }
+    left_out = [*range(FOLDS), None]
+
+    def share(left: int | None, k: int) -> float:
+        rows = [r for fold, r in seen.items() if fold != left]
+        return sum(r["p"][k] for r in rows) / max(sum(r["n"][k] for r in rows), 1)
+
+    def without(name: str, left: int | None) -> Column:
+        if left is None:
+            return F.sum(name)
+        return F.sum(F.when(F.col("fold") != left, F.col(name)).otherwise(0))
+
+    sides = [
+        F.struct(
+            F.lit(FOLDS if left is None else left).alias("left"),
+            without("positive", left).alias("p"),
+            (without("positive", left) + without("negative", left)).alias("n"),
+            F.element_at(
+                F.array(*(F.lit(share(left, k)) for k in range(categories))),
+                F.col("category") + 1,
+            ).alias("share"),
+        )
+        for left in left_out
+    ]
+    counts = (
+        sample.mapInArrow(_count_features(), _COUNTS)
+        .groupBy("feature", "category")
+        .agg(F.array(*sides).alias("sides"))
+        .select("feature", "category", F.inline("sides"))
+        .where("n > 2")
+    )
+    expected = F.col("n") * F.col("share")
+    # chi-squared of the feature's share of positives, up to a factor that all share
+    gain = (F.col("p") - expected) ** 2 / F.greatest(F.lit(1e-9), expected)
+    best = Window.partitionBy("left", "category").orderBy(F.desc("gain"), "feature")
+    rows = (
+        counts.withColumn("gain", gain)
+        .withColumn("rank", F.row_number().over(best))
+        .where(F.col("rank") <= features)
+        .select("left", "feature")
+        .distinct()
+        .collect()
+    )
+    out: list[set[str]] = [set() for _ in left_out]
+    for r in rows:
+        out[r["left"]].add(r["feature"])
+    return out
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -240,37 +317,14 @@ def train(
         texts(docs, id_col, text_col)
         .join(F.broadcast(chosen), "doc_id")
         .groupBy("doc_id")
-        .agg(F.min("text").alias("text"), F.first("labels").alias("labels")),
+        .agg(F.min("text").alias("text"), F.first("labels").alias("labels"))
+        .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")),
         "labelled-texts",
     )
-    seen = sample.select(
-        *(F.sum(F.col("labels")[k]).alias(f"p{k}") for k in range(len(names))),
-        *(F.count(F.col("labels")[k]).alias(f"n{k}") for k in range(len(names))),
-    ).first()
     chain = Chain(names, [])
-    counts = stored(
-        sample.mapInArrow(_count_features(len(names)), _COUNTS)
-        .groupBy("feature", "category")
-        .agg(F.sum("positive").alias("p"), F.sum("negative").alias("n"))
-        .where("p + n > 2"),
-        "feature-counts",
-    )
-    kept: set[str] = set()
-    for k in range(len(names)):
-        positive, all_ = float(seen[f"p{k}"] or 0), float(seen[f"n{k}"])
-        expected = (F.col("p") + F.col("n")) * (positive / max(all_, 1.0))
-        # chi-squared of the feature's share of positives, up to a factor that all share
-        gain = (F.col("p") - expected) ** 2 / F.greatest(F.lit(1e-9), expected)
-        kept |= {
-            r.feature
-            for r in counts.where(F.col("category") == k)
-            .orderBy(gain.desc(), "feature")
-            .limit(features)
-            .select("feature")
-            .collect()
-        }
-    chain.features = sorted(kept)
-    places = {f: k for k, f in enumerate(chain.features)}
+    chosen = _chosen_features(sample, len(names), features)
+    every = sorted(set().union(*chosen))
+    places = {f: k for k, f in enumerate(every)}
 
     @F.pandas_udf("array<int>")
     def known(text: pd.Series) -> pd.Series:
@@ -278,14 +332,24 @@ def train(
         return pd.Series([lookup.of(t) for t in text])
 
     known.func.__annotations__ = {"text": pd.Series, "return": pd.Series}
-    rows = sample.select("doc_id", "labels", known("text").alias("found")).orderBy("doc_id").collect()
+    rows = (
+        sample.select("doc_id", "labels", "fold", known("text").alias("found"))
+        .orderBy("doc_id")
+        .collect()
+    )
     found = [np.array(row.found, np.int64) for row in rows]
     x = Table(found, len(places), np.zeros((len(rows), 0)))
     y = np.full((len(rows), len(names)), np.nan)
     for k, row in enumerate(rows):
         y[k] = [np.nan if v is None else v for v in row.labels]
-    folds = np.random.default_rng(3).permutation(len(rows)) % FOLDS
-    chain.weights = train_chain(x, y, folds)
+    folds = np.array([row.fold for row in rows], np.int64)
+    weights = train_chain(
+        x, y, folds, [np.array([places[f] for f in c], np.int64) for c in chosen]
+    )
+    # features that only a fold chose have no weight in the end
+    chain.features = sorted(chosen[FOLDS])
+    kept = np.array([places[f] for f in chain.features], np.int64)
+    chain.weights = [np.concatenate((w[kept], w[len(every) :])) for w in weights]
     return chain
 
 
