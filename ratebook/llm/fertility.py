@@ -49,6 +49,8 @@ BANDS = {"entropy": (3.5, None), "chars_per_token": (8.0, 8.0), "byte_share": (N
 LEAST = {"entropy": 0.002, "chars_per_token": 0.01, "byte_share": 0.01}
 #: Figures are counted in cells of this width.
 CELL = 1 / 4096
+#: Bands (about 100 bytes each) that are sent to every task; more of them are joined.
+SENT_BANDS = 200_000
 #: Words that are known by their tokens at once.
 KEPT_WORDS = 200_000
 #: Words of a repeated window, and the limits on the plain counts.
@@ -329,7 +331,12 @@ def judged(
     `reason` names what spoke first: `words`, `repeats`, a figure, or null for a kept text.
     """
     rows = stored(figures(docs, model, id_col, text_col, lang_col), "fertility")
-    limits = bands(rows).withColumnsRenamed({"language": "of_language", "length": "of_length"})
+    limits = stored(
+        bands(rows).withColumnsRenamed({"language": "of_language", "length": "of_length"}),
+        "fertility-bands",
+    )
+    if limits.count() <= SENT_BANDS:
+        limits = F.broadcast(limits)
     matched = rows.join(
         limits,
         (F.col("language") == F.col("of_language")) & (_length() == F.col("of_length")),
