@@ -156,7 +156,8 @@ class Forest:
         members = None
         for k in reversed(range(len(self.levels))):
             level = _regenerated(self.levels[k]).withColumn("last", F.col("size") <= SUBTREE)
-            inside = level.join(rest, ["tree", "run", "last"]).select(
+            # Spark judges the paths by the files they come from, a small part of their size.
+            inside = level.join(rest.hint("merge"), ["tree", "run", "last"]).select(
                 "tree", "steps", "rest", *(f"level_{j}" for j in range(STEP)),
                 F.posexplode("members").alias("at", "member"),
             )
