@@ -788,10 +788,12 @@ def history_book(spark: SparkSession, sf_dir: str) -> PriceBook:
         book = PriceBook(spark, f"history_{uuid4().hex}", path)
         book.provision()
         root = book.folder("history")
-        history(spark, sf_dir).write.partitionBy("ingestion_date").parquet(root)
-        landed = spark.read.schema(HISTORY).parquet(root)
-        days = [r[0] for r in landed.select("ingestion_date").distinct().collect()]
-        book.publish({d: f"{root}/ingestion_date={d}" for d in days})
+        history(spark, sf_dir).write.partitionBy("ingestion_date", "service_code").parquet(root)
+        days = {
+            date.fromisoformat(day): book.files.parts(folder, "service_code")
+            for day, folder in book.files.parts(root, "ingestion_date").items()
+        }
+        book.publish(days)
         book.swap_live(max(days))
         return book
 

@@ -9,7 +9,7 @@ from ratebook.catalogue import adapters as A
 from ratebook.catalogue import sql as S
 from ratebook.catalogue.registry import day, instant, query, shown
 from ratebook.functions.exprs import attribute
-from ratebook.operators import compose, flatten
+from ratebook.operators import flatten
 from ratebook.plans import consumer
 from ratebook.scratch import new_folder
 from ratebook.sources import ndjson, offers
@@ -283,9 +283,7 @@ def served(spark, sf_dir):
     def load(_path: str):
         book = A.new_book(spark, "served")
         day = STAMP["run_date"]
-        rows = compose.clustered(flat_services(spark, sf_dir))
-        folder = book.write_rows(rows, day)
-        book.commit(days={day: folder}, live=folder)
+        book.commit(days={day: book.write_rows(flat_services(spark, sf_dir), day)}, live=day)
         return book
 
     return A.once(spark, sf_dir, "served", load).read_live()

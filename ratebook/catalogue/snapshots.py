@@ -111,12 +111,20 @@ _FRESH = _REST.replace("price_per_unit", "price_per_unit + 1 AS price_per_unit")
 _FRESH_ROWS = f"FROM hist WHERE {S.CHANGED_REGION} AND term_type = 'OnDemand'"
 
 
-def composed(spark, sf_dir, base, run_date, source_day, pairs):
-    """Compose and publish in a book of its own; the day as read back from it."""
+def with_days(spark, sf_dir, name, *days):
+    """A book of its own that holds days of the shared one, in the same folders."""
+    shared = A.history_book(spark, sf_dir)
+    book = A.new_book(spark, name)
+    book.publish({d: shared.compose_day(d, d) for d in days})
+    return book
+
+
+def composed(spark, sf_dir, base, run_date, source_day):
+    """Compose and publish a day after `base`; the day as read back."""
     fresh = A.fresh_rows(spark, sf_dir, source_day, run_date)
-    book = A.new_book(spark, "composed")
-    folder = book.write_rows(compose.compose(base, fresh, pairs, run_date), run_date)
-    book.publish({run_date: folder})
+    book = with_days(spark, sf_dir, "composed", *([base] if base else []))
+    pairs = A.changed_pairs(spark, sf_dir)
+    book.publish({run_date: book.compose_day(base, run_date, fresh, pairs)})
     return book.read_history(on=run_date)
 
 
@@ -129,11 +137,9 @@ def composed(spark, sf_dir, base, run_date, source_day, pairs):
     {_FRESH_ROWS} AND ingestion_date = {S.LAST}"""
 )
 def compose_new_day(spark, sf_dir):
-    book, newest, _ = last_days(spark, sf_dir)
+    _, newest, _ = last_days(spark, sf_dir)
     run_date = newest + timedelta(days=1)
-    pairs = A.changed_pairs(spark, sf_dir)
-    base = book.read_history(on=newest)
-    return shown_snapshot(composed(spark, sf_dir, base, run_date, newest, pairs))
+    return shown_snapshot(composed(spark, sf_dir, newest, run_date, newest))
 
 
 @query(
@@ -143,10 +149,8 @@ def compose_new_day(spark, sf_dir):
     SELECT ingestion_date, {_FRESH} {_FRESH_ROWS} AND ingestion_date = {S.LAST}"""
 )
 def compose_same_day(spark, sf_dir):
-    book, newest, _ = last_days(spark, sf_dir)
-    pairs = A.changed_pairs(spark, sf_dir)
-    base = book.read_history(on=newest)
-    return shown_snapshot(composed(spark, sf_dir, base, newest, newest, pairs))
+    _, newest, _ = last_days(spark, sf_dir)
+    return shown_snapshot(composed(spark, sf_dir, newest, newest, newest))
 
 
 @query(
@@ -155,8 +159,7 @@ def compose_same_day(spark, sf_dir):
 )
 def compose_first_run(spark, sf_dir):
     _, newest, _ = last_days(spark, sf_dir)
-    pairs = A.changed_pairs(spark, sf_dir)
-    return shown_snapshot(composed(spark, sf_dir, None, newest, newest, pairs))
+    return shown_snapshot(composed(spark, sf_dir, None, newest, newest))
 
 
 @query(
@@ -165,19 +168,18 @@ def compose_first_run(spark, sf_dir):
     SELECT {S.LAST}, {_FRESH} {_FRESH_ROWS} AND ingestion_date = {S.BEFORE_LAST}"""
 )
 def history_append(spark, sf_dir):
-    """Nothing is replaced: the partition's rows and the new ones."""
-    book, newest, before = last_days(spark, sf_dir)
-    no_pairs = A.changed_pairs(spark, sf_dir).limit(0)
-    base = book.read_history(on=newest)
-    return shown_snapshot(composed(spark, sf_dir, base, newest, before, no_pairs))
+    """Nothing is read or replaced: the new rows stand beside the partition's."""
+    _, newest, before = last_days(spark, sf_dir)
+    book = with_days(spark, sf_dir, "appended", newest)
+    book.append(A.fresh_rows(spark, sf_dir, before, newest), newest)
+    return shown_snapshot(book.read_history(on=newest))
 
 
 @query(f"{_HIST} SELECT {S.LIVE} FROM hist WHERE ingestion_date = {S.LAST}")
 def swap_live(spark, sf_dir):
     """Live served the day before, then the last one."""
-    shared, newest, before = last_days(spark, sf_dir)
-    book = A.new_book(spark, "swap")
-    book.publish({d: shared.partition_folder(d) for d in (before, newest)})
+    _, newest, before = last_days(spark, sf_dir)
+    book = with_days(spark, sf_dir, "swap", before, newest)
     book.swap_live(before)
     book.swap_live(newest)
     return shown_live(book.read_live())

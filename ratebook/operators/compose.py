@@ -40,19 +40,22 @@ def clustered(rows: DataFrame) -> DataFrame:
 
 
 def compose(
-    base: DataFrame | None, fresh: DataFrame, pairs: DataFrame, run_date: date
+    base: DataFrame | None,
+    fresh: DataFrame | None,
+    pairs: DataFrame | None,
+    run_date: date,
 ) -> DataFrame:
     """Snapshot = rows carried from `base` + fresh rows.
 
     `base` is today's partition on a same-day rerun (its changed pairs are
     replaced), the latest earlier partition on a new day, None on the first run.
-    Both are put in order together, so the day is clustered however many days its rows
-    were carried; the order's boundaries come from a sample of files, if `fresh` was
-    written before.
     """
-    if base is not None:
-        fresh = carry_forward(base, pairs, run_date).unionByName(fresh)
-    return clustered(fresh)
+    if base is None:
+        return fresh
+    if pairs is None:
+        pairs = base.select(*schemas.PAIR).where(F.lit(False))
+    carried = carry_forward(base, pairs, run_date)
+    return carried if fresh is None else carried.unionByName(fresh)
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:

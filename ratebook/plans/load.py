@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratebook import schemas
-from ratebook.operators import audit, compose, diff, flatten, guards, upsert
+from ratebook.operators import audit, diff, flatten, guards, upsert
 from ratebook.operators.discover import discover_rejects, discover_targets
 from ratebook.operators.keys import written_keys
+from ratebook.plans.writer import LEASE, writing
 from ratebook.scratch import written
 from ratebook.session import sized_shuffles
 from ratebook.sources import offers
@@ -88,47 +89,68 @@ def run_load(
     include_plans: bool = True,
     include_reserved: bool = True,
     force: bool = False,
+    lease: float = LEASE,
 ) -> LoadResult:
     """One load.  The day, the versions and live move in one commit, so a run that failed
-    anywhere has either changed nothing or is finished by the next one."""
+    anywhere has either changed nothing or is finished by the next one.
+
+    A second load of the same book is refused until this one has ended, or `lease` seconds
+    after it began.
+    """
     if not landing.service_offers or not landing.master_index:
         raise ValueError("a load needs a landing directory")
     spark = book.spark
     started = time.monotonic()
     now = now or datetime.now(timezone.utc)
     run_id, run_date = uuid4().hex, now.astimezone(timezone.utc).date()
-    book.provision()
-    book.record(audit.start_run(spark, run_id, now, service_filter, run_date))
-    try:
-        loaded, changed, skipped = _load(
-            book,
-            landing,
-            run_id=run_id,
-            run_date=run_date,
-            now=now,
-            service_filter=service_filter,
-            include_plans=include_plans,
-            include_reserved=include_reserved,
-            force=force,
-        )
-        book.record(audit.finish_run(spark, run_id, loaded, changed, skipped))
-    except Exception as failure:
-        log.exception("load %s failed", run_id)
+    with writing(book.files, book.location, lease) as writer:
+        book.provision()
+        book.record(audit.start_run(spark, run_id, now, service_filter, run_date))
+        work = book.folder("work")
         try:
-            book.record(audit.fail_run(spark, run_id, str(failure)))
-        except Exception:
-            log.exception("load %s: its failure could not be recorded", run_id)
-        raise
+            loaded, changed, skipped = _load(
+                book,
+                landing,
+                writer,
+                work,
+                run_id=run_id,
+                run_date=run_date,
+                now=now,
+                service_filter=service_filter,
+                include_plans=include_plans,
+                include_reserved=include_reserved,
+                force=force,
+            )
+            book.record(audit.finish_run(spark, run_id, loaded, changed, skipped))
+        except Exception as failure:
+            log.exception("load %s failed", run_id)
+            try:
+                book.record(audit.fail_run(spark, run_id, str(failure)))
+            except Exception:
+                log.exception("load %s: its failure could not be recorded", run_id)
+            raise
+        finally:
+            book.files.remove(work)
     return LoadResult(
         run_id, run_date, loaded, changed, skipped, time.monotonic() - started
     )
 
 
 def _load(
-    book, landing, *, run_id, run_date, now, service_filter, include_plans, include_reserved, force
+    book,
+    landing,
+    writer,
+    work,
+    *,
+    run_id,
+    run_date,
+    now,
+    service_filter,
+    include_plans,
+    include_reserved,
+    force,
 ) -> tuple[int, int, int]:
     spark = book.spark
-    work = book.folder("work")
     targets, n_targets = written_keys(
         discover_targets(
             spark,
@@ -169,12 +191,14 @@ def _load(
     if guards.is_noop(n_changed > 0, today, force):
         return 0, 0, n_skipped
 
+    base = run_date if today else previous
     if not n_changed:
         # A new day without changes is the previous day's content as it stands: the
-        # date is not part of a folder, so both days can share one.
+        # date is not part of a folder, so both days can share them.
         guards.require_some_data(0, today, previous is not None)
-        folder = book.partition_folder(previous)
-        book.commit(days={run_date: folder}, live=folder)
+        parts = book.compose_day(base, run_date)
+        writer.require_own()
+        book.commit(days={run_date: parts}, live=run_date)
         return 0, 0, n_skipped
 
     kinds = {"service": landing.service_offers}
@@ -188,14 +212,9 @@ def _load(
         for kind, root in kinds.items()
     )
 
-    base = None
-    if today:
-        base = book.read_history(on=run_date)
-    elif previous:
-        base = book.read_history(on=previous)
-
-    # The fresh rows are written once; what was loaded is counted from those files, and
-    # the day is put in order from them and the carried rows, without flattening again.
+    # The fresh rows are written once; what was loaded is counted from those files, and the
+    # changed services are put in order from them and the carried rows, without flattening
+    # again.
     fresh = fresh_rows(
         spark,
         landing,
@@ -216,9 +235,7 @@ def _load(
         )
         n_rows = summary.agg(F.coalesce(F.sum("rows_loaded"), F.lit(0))).first()[0]
         guards.require_some_data(n_rows, today, previous is not None)
-        folder = book.write_rows(
-            compose.compose(base, fresh, pairs, run_date), run_date
-        )
+        parts = book.compose_day(base, run_date, fresh, pairs)
     merged = upsert.merge_versions(
         book.read_versions(), upsert.versions_from_history(summary)
     )
@@ -226,5 +243,6 @@ def _load(
     versions = book.write_versions(
         upsert.upsert_empty_targets(merged, empty, F.lit(now).cast("timestamp"))
     )
-    book.commit(days={run_date: folder}, versions=versions, live=folder)
+    writer.require_own()
+    book.commit(days={run_date: parts}, versions=versions, live=run_date)
     return n_rows, n_changed, n_skipped

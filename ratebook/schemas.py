@@ -38,6 +38,15 @@ HISTORY = T.StructType(
     ]
 )
 LIVE = T.StructType([f for f in HISTORY.fields if f.name != "ingestion_date"])
+# A file's own columns, and those that say which rows it holds.
+PART = T.StructType([f for f in LIVE.fields if f.name != "service_code"])
+PART_OF = T.StructType(
+    [
+        HISTORY["ingestion_date"],
+        T.StructField("load", T.LongType()),
+        HISTORY["service_code"],
+    ]
+)
 
 VERSIONS = T.StructType(
     [
@@ -68,12 +77,13 @@ RUNS = T.StructType(
 # The audit table is appended to, never updated: each row is one event of a run.
 RUN_EVENTS = T.StructType([*RUNS.fields, T.StructField("event_seq", T.IntegerType())])
 
-# Where the content of a table or of a day is, by publish.
+# Where the content of a table, or of a day's service, is, by publish.
 POINTERS = T.StructType(
     [
         T.StructField("number", T.LongType()),
         T.StructField("kind", T.StringType()),
         T.StructField("day", T.DateType()),
+        T.StructField("service_code", T.StringType()),
         T.StructField("folder", T.StringType()),
     ]
 )

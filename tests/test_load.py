@@ -10,10 +10,11 @@ import docs
 import pytest
 from pyspark.sql import functions as F
 
-from ratebook.operators import audit, compose
+from ratebook.operators import audit
 from ratebook.operators.guards import LoadRefused
 from ratebook.operators.keys import written_keys
 from ratebook.plans.load import run_load
+from ratebook.plans.writer import Busy, TakenOver, writing
 from ratebook.sources.book import PriceBook, UnknownContent
 
 DAY1 = datetime(2025, 5, 1, 2, tzinfo=timezone.utc)
@@ -75,9 +76,9 @@ def test_five_loads(spark, book, catalogue):
     assert "ingestion_date" not in book.read_live().columns
 
     # 2. Nothing changed and today is there: nothing is written, nothing moves.
-    folder = book.partition_folder(date(2025, 5, 1))
+    parts = book.parts(date(2025, 5, 1))
     assert counts(load(book, catalogue, DAY1 + timedelta(hours=1))) == (0, 0, 2)
-    assert book.partition_folder(date(2025, 5, 1)) == folder
+    assert book.parts(date(2025, 5, 1)) == parts
     assert (last_run(book).status, last_run(book).services_skipped) == ("succeeded", 2)
 
     # 3. Same day, one document changed: only its rows are replaced.
@@ -111,9 +112,9 @@ def test_five_loads(spark, book, catalogue):
     # ... and is not opened again.
     assert counts(load(book, catalogue, DAY1 + timedelta(days=3))) == (0, 0, 3)
     assert live(book) == {("A", "r1"): (4, 10)}
-    # A day without changes shares the folder of the day before.
+    # A day without changes shares the folders of the day before.
     assert book.partition_dates()[0] == date(2025, 5, 4)
-    assert book.partition_folder(date(2025, 5, 4)) == book.partition_folder(date(2025, 5, 3))
+    assert book.parts(date(2025, 5, 4)) == book.parts(date(2025, 5, 3))
     assert {r[0] for r in book.read_history(on=date(2025, 5, 4)).select("ingestion_date").collect()} == {
         date(2025, 5, 4)
     }
@@ -251,7 +252,10 @@ def test_a_publish_that_died_half_way_is_finished(spark, book, catalogue, monkey
     load(book, catalogue, DAY1)
     catalogue.offer("A", "r1", "v2", docs.priced(2))
     with monkeypatch.context() as broken:
-        broken.setattr(PriceBook, "_attach", lambda self, moved: 1 / 0 if len(moved) == 3 else None)
+        whole = PriceBook._serve
+        broken.setattr(
+            PriceBook, "_serve", lambda self, names: 1 / 0 if self._state.number > 1 else whole(self, names)
+        )
         with pytest.raises(ZeroDivisionError):
             load(book, catalogue, DAY1 + timedelta(days=1))
     assert live(book) == {("A", "r1"): (1, 1)}
@@ -276,41 +280,256 @@ def test_unusable_indexes_are_kept(book, catalogue):
 
 def test_carried_days_stay_clustered(spark, book, tmp_path):
     """A pair's rows lie in few files however often they were carried."""
-    pairs = [(f"S{n % 20:02}", f"r{n % 7}") for n in range(4000)]
-    base = docs.history_rows(spark, date(2025, 5, 1), pairs)
+    pairs = [("S03" if n % 2 else f"S{n % 20:02}", f"r{n % 7}") for n in range(4000)]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "8")
+    book.provision()
     try:
         day = date(2025, 5, 1)
         changed = written_keys(
             spark.createDataFrame([("S03", "r1")], "service_code string, region_code string"),
             str(tmp_path / "pairs"),
         ).frame
-        folder = book_folder(book, compose.compose(None, base, changed, day), day)
+        book.publish({day: book.write_rows(docs.history_rows(spark, day, pairs), day)})
         for _ in range(5):
             earlier, day = day, day + timedelta(days=1)
             fresh = docs.history_rows(spark, day, [("S03", "r1")] * 30)
-            rows = compose.compose(book.read_history(on=earlier), fresh, changed, day)
-            folder = book_folder(book, rows, day)
+            book.publish({day: book.compose_day(earlier, day, fresh, changed)})
+        (folder,) = book.parts(day)["S03"]
         files = (
-            book.written_rows(folder)
+            book.written_rows({"S03": folder})
             .groupBy(F.input_file_name())
-            .agg(F.min("service_code").alias("a"), F.max("service_code").alias("b"))
+            .agg(F.min("region_code").alias("a"), F.max("region_code").alias("b"))
             .collect()
         )
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert len(files) >= 6
-    assert sum(f.a <= "S11" <= f.b for f in files) <= 2
+    assert sum(f.a <= "r3" <= f.b for f in files) <= 3
+
+
+# --- parts ------------------------------------------------------------------
+
+
+def services(book, catalogue, n):
+    for k in range(n):
+        for region in ("r1", "r2"):
+            catalogue.offer(f"S{k}", region, "v1", docs.priced(k + 1, n=20))
+    load(book, catalogue, DAY1)
+
+
+def written_bytes(book):
+    root = f"{book.location}/data/history"
+    return sum(book.files.bytes(f"{root}/{name}") for name in book.files.names(root))
+
+
+def test_a_changed_service_writes_only_its_own_bytes(spark, book, catalogue):
+    services(book, catalogue, 8)
+    first, day1, day2 = written_bytes(book), date(2025, 5, 1), date(2025, 5, 2)
+    catalogue.offer("S3", "r1", "v2", docs.priced(40, n=20))
+    assert counts(load(book, catalogue, DAY1 + timedelta(days=1))) == (20, 1, 15)
+    assert written_bytes(book) - first < 1.5 * first / 8
+    before, after = book.parts(day1), book.parts(day2)
+    assert {s for s in after if after[s] != before[s]} == {"S3"}
+    assert live(book)["S3", "r1"] == (20, 40) and live(book)["S3", "r2"] == (20, 4)
+    assert len(live(book)) == 16 and day_rows(book, day1) == day_rows(book, day2) == 320
+
+
+def test_a_rerun_with_one_pair_leaves_the_other_folders(book, catalogue):
+    services(book, catalogue, 4)
+    day = date(2025, 5, 1)
+    before = book.parts(day)
+    catalogue.offer("S2", "r2", "v2", docs.priced(9, n=1))
+    assert counts(load(book, catalogue, DAY1 + timedelta(hours=3))) == (1, 1, 7)
+    after = book.parts(day)
+    assert {s for s in after if after[s] != before[s]} == {"S2"}
+    assert live(book)["S2", "r2"] == (1, 9) and live(book)["S2", "r1"] == (20, 3)
+
+
+def test_a_service_without_rows_leaves_the_day(book, catalogue):
+    services(book, catalogue, 2)
+    for region in ("r1", "r2"):
+        catalogue.offer("S1", region, "v2", docs.SHELL)
+    load(book, catalogue, DAY1 + timedelta(days=1))
+    assert set(book.parts(date(2025, 5, 2))) == {"S0"} and len(live(book)) == 2
+
+
+def test_services_with_odd_names(spark, book):
+    names = ["it's", "a\\b", "a=b/c d", "100%", "é"]
+    day = date(2025, 5, 1)
+    book.provision()
+    rows = docs.history_rows(spark, day, [(n, "r1") for n in names])
+    book.commit(days={day: book.write_rows(rows, day)}, live=day)
+    assert {s for s, _ in live_pairs(book)} == set(names) == set(book.parts(day))
+    again = reopened(spark, book)
+    again.provision()
+    assert {s for s, _ in live_pairs(again)} == set(names)
+
+
+def live_pairs(book):
+    return [tuple(r) for r in book.read_live().select("service_code", "region_code").collect()]
+
+
+# --- appended rows ----------------------------------------------------------
+
+
+def test_append_reads_no_old_row(spark, book, monkeypatch):
+    day = date(2025, 5, 1)
+    book.provision()
+    book.publish({day: book.write_rows(docs.history_rows(spark, day, [("A", "r1"), ("B", "r1")]), day)})
+    before = book.parts(day)
+    with monkeypatch.context() as blind:
+        blind.setattr(PriceBook, "read_history", None)
+        blind.setattr(PriceBook, "read_live", None)
+        book.append(docs.history_rows(spark, day, [("A", "r2")] * 3), day)
+    after = book.parts(day)
+    assert after["B"] == before["B"] and after["A"][0] == before["A"][0] and len(after["A"]) == 2
+    assert day_rows(book, day) == 5
+    # a day carried from it puts a service's rows together again
+    later = date(2025, 5, 2)
+    book.publish({later: book.compose_day(day, later)})
+    assert day_rows(book, later) == 5 and len(book.parts(later)["A"]) == 1
+    assert book.parts(later)["B"] == before["B"]
+
+
+def test_live_follows_appended_rows_when_turned(spark, book):
+    day = date(2025, 5, 1)
+    book.provision()
+    rows = docs.history_rows(spark, day, [("A", "r1")])
+    book.commit(days={day: book.write_rows(rows, day)}, live=day)
+    book.append(rows, day)
+    assert book.read_live().count() == 1 and day_rows(book, day) == 2
+    book.swap_live(day)
+    assert book.read_live().count() == 2
+    again = reopened(spark, book)
+    again.provision()
+    assert again.read_live().count() == 2 and day_rows(again, day) == 2
 
 
-def book_folder(book, rows, day):
+def test_appended_rows_are_checked(spark, book):
+    day = date(2025, 5, 1)
     book.provision()
-    folder = book.write_rows(rows, day)
-    book.commit(days={day: folder}, live=folder)
-    return folder
+    rows = docs.history_rows(spark, day, [("A", "r1")])
+    with pytest.raises(ValueError):
+        book.append(rows, day)
+    book.publish({day: {}})
+    with pytest.raises(Exception, match="a row is not dated"):
+        book.append(docs.history_rows(spark, date(2025, 5, 2), [("A", "r1")]), day)
+    with pytest.raises(Exception, match="required column sku is NULL"):
+        book.append(rows.withColumn("sku", F.lit(None).cast("string")), day)
+    assert day_rows(book, day) == 0
+
+
+# --- SQL --------------------------------------------------------------------
+
+
+def test_sql_needs_dates(spark, book):
+    days = [date(2025, 5, d) for d in (1, 2, 3)]
+    book.provision()
+    for day in days:
+        rows = docs.history_rows(spark, day, [("A", "r1"), ("B", "r1")])
+        book.publish({day: book.write_rows(rows, day)})
+    spark.sql(f"USE `{book.database}`")
+    try:
+        for text in ("history", "history()", "history(DATE '2025-05-01')"):
+            with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND|WRONG_NUM_ARGS|REQUIRED"):
+                spark.sql(f"SELECT * FROM {text}")
+        found = spark.sql(
+            "SELECT * FROM history(DATE '2025-05-02', DATE '2025-05-03') WHERE service_code = 'A'"
+        )
+        assert found.columns == book.read_history(on=days[0]).columns
+        assert found.count() == 2
+        paths = found.inputFiles()
+        kept = [book.parts(d)["A"][0].rpartition("/data/")[2] for d in days]
+        assert all(any(k in p for k in kept[1:]) for p in paths)
+        assert not any(kept[0] in p for p in paths)
+        # a day published again: the function serves the new rows alone
+        book.publish({days[2]: book.write_rows(docs.history_rows(spark, days[2], [("A", "r1")] * 4), days[2])})
+        assert spark.sql("SELECT * FROM history(DATE '2025-05-01', DATE '2025-05-03')").count() == 8
+    finally:
+        spark.sql("USE default")
+
+
+def test_readers_see_one_publish(spark, book):
+    """The folders of a publish are partitions before anybody reads them."""
+    day = date(2025, 5, 1)
+    book.provision()
+    book.commit(days={day: book.write_rows(docs.history_rows(spark, day, [("A", "r1"), ("B", "r1")]), day)}, live=day)
+    seen = []
+    serve = book._serve
+
+    def watched(names):
+        seen.append((book.spark.table(book.name("live")).count(), names))
+        serve(names)
+
+    book._serve = watched
+    rows = docs.history_rows(spark, day, [("A", "r1")] * 5)
+    book.commit(days={day: book.write_rows(rows, day)}, live=day)
+    assert seen == [(2, {"history", "live"})]
+    assert book.read_live().count() == day_rows(book, day) == 5
+
+
+# --- one writer -------------------------------------------------------------
+
+
+def test_a_second_load_is_refused(spark, book, catalogue, monkeypatch):
+    catalogue.offer("A", "r1", "v1", docs.priced(1))
+    other = PriceBook(spark.newSession(), f"t_{uuid4().hex}", book.location)
+    refused = []
+    commit = PriceBook.commit
+
+    def meanwhile(self, **published):
+        with pytest.raises(Busy):
+            load(other, catalogue, DAY1)
+        refused.append(True)
+        commit(self, **published)
+
+    with monkeypatch.context() as both:
+        both.setattr(PriceBook, "commit", meanwhile)
+        load(book, catalogue, DAY1)
+    assert refused and live(book) == {("A", "r1"): (1, 1)}
+    # ended: the other session may load, and knows what is loaded
+    assert counts(load(other, catalogue, DAY1 + timedelta(hours=1))) == (0, 0, 1)
+
+
+def test_a_dead_load_is_taken_over(spark, book, catalogue, monkeypatch):
+    catalogue.offer("A", "r1", "v1", docs.priced(1))
+    with writing(book.files, book.location) as dead:
+        with pytest.raises(Busy):
+            load(book, catalogue, DAY1)
+        assert counts(load(book, catalogue, DAY1, lease=0.0)) == (1, 1, 0)
+        # it was alive after all: it must not publish
+        with pytest.raises(TakenOver):
+            dead.require_own()
+    assert live(book) == {("A", "r1"): (1, 1)}
+    assert counts(load(book, catalogue, DAY1 + timedelta(hours=1))) == (0, 0, 1)
+
+
+def test_a_taken_over_load_publishes_nothing(book, catalogue, monkeypatch):
+    catalogue.offer("A", "r1", "v1", docs.priced(1))
+    write = PriceBook.write_rows
+
+    def slow(self, rows, day):
+        files, folder = self.files, f"{self.location}/writers"
+        files.create(f"{folder}/{int(files.names(folder)[-1]) + 1:09}")
+        return write(self, rows, day)
+
+    with monkeypatch.context() as late:
+        late.setattr(PriceBook, "write_rows", slow)
+        with pytest.raises(TakenOver):
+            load(book, catalogue, DAY1)
+    assert book.partition_dates() == [] and last_run(book).status == "failed"
+
+
+def test_work_of_a_load_is_removed(book, catalogue):
+    catalogue.offer("A", "r1", "v1", docs.priced(1))
+    load(book, catalogue, DAY1)
+    catalogue.offer("A", "r1", "v2", docs.priced("not a price"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        load(book, catalogue, DAY1 + timedelta(days=1))
+    assert book.files.names(f"{book.location}/data/work") == []
 
 
 def test_mandatory_parameters(spark, book, catalogue):

@@ -130,6 +130,22 @@ def test_required_columns(spark, book, column):
     assert book.partition_dates() == []
 
 
+def test_lookups_skip_row_groups(spark, book):
+    """Files keep bloom filters of the columns that single rows are looked up by."""
+    rows = history(spark, D1, [("A", "r1", f"K{n:04}", 1.0) for n in range(0, 2000, 2)])
+    book.publish({D1: book.write_rows(rows, D1)})
+    read = []
+    for sku in ("K0500", "K0501"):  # the second lies between others, and isn't there
+        found = book.read_history(on=D1).where(F.col("sku") == sku).select("sku", "region_code")
+        count = len(found.collect())
+        scan = found._jdf.queryExecution().executedPlan()
+        while not scan.children().isEmpty():
+            scan = scan.children().head()
+        read.append((count, scan.metrics().apply("numOutputRows").value()))
+    assert read[0][0] == 1 and read[0][1] > 0
+    assert read[1] == (0, 0)
+
+
 def test_rows_of_another_day_are_refused(spark, book):
     with pytest.raises(Exception, match="a row is not dated 2025-05-02"):
         book.write_rows(history(spark, D1, OLD), D2)
@@ -253,6 +269,14 @@ def test_run_audit(spark, book):
 # --- sinks and folders ------------------------------------------------------
 
 
+def test_ndjson_works_rows_out_once(spark, tmp_path):
+    rows = history(spark, D1, OLD)
+    for given in (rows, rows.where(F.lit(False))):
+        seen = spark.sparkContext.accumulator(0)
+        counted = given.rdd.map(lambda r: (seen.add(1), r.sku)[1]).map(lambda s: (s,)).toDF("sku string")
+        assert ndjson.write_ndjson(counted, str(tmp_path / uuid4().hex)) == seen.value
+
+
 def test_ndjson(spark, tmp_path):
     rows = history(spark, D1, OLD)
     assert ndjson.write_ndjson(rows.limit(0), str(tmp_path / "none")) == 0
