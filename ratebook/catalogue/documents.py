@@ -149,8 +149,7 @@ def flatten_all_offers(spark, sf_dir):
     FROM sales WHERE o_orderkey % 19 <> 0"""
 )
 def base_row_projection(spark, sf_dir):
-    entries = flatten.service_entries(A.service_documents(spark, sf_dir))
-    skus = flatten.with_products(entries)
+    skus = flatten.described(flatten.priced_entries(A.service_documents(spark, sf_dir)))
     base = flatten.base_columns(A.RUN_DATE, A.NOW)
     rows = skus.select(*[c.alias(n) for n, c in base.items()], "term_type", "slice")
     return rows.select(
@@ -179,8 +178,8 @@ def base_row_projection(spark, sf_dir):
     FROM sales WHERE o_orderkey % 19 <> 0"""
 )
 def terms_left_join_products(spark, sf_dir):
-    entries = flatten.service_entries(A.service_documents(spark, sf_dir))
-    return flatten.with_products(entries).select(
+    entries = flatten.priced_entries(A.service_documents(spark, sf_dir))
+    return flatten.described(entries).select(
         "service_code",
         "region_code",
         "term_type",
@@ -199,7 +198,7 @@ def terms_left_join_products(spark, sf_dir):
 )
 def plan_left_join_products(spark, sf_dir):
     entries = flatten.plan_entries(A.plan_documents(spark, sf_dir))
-    return flatten.with_products(entries).select(
+    return flatten.described(entries).select(
         "service_code",
         "region_code",
         "sku",
@@ -216,8 +215,10 @@ def plan_left_join_products(spark, sf_dir):
     FROM sales WHERE {S.PLAN_SKU} AND {S.HAS_PRODUCT}"""
 )
 def plan_products_index(spark, sf_dir):
-    entries = flatten.plan_entries(A.plan_documents(spark, sf_dir))
-    return flatten.products_index(entries).select(
+    products = A.plan_documents(spark, sf_dir).select(
+        "offer_url", "slice", F.explode(flatten.plan_products()).alias("sku", "product")
+    )
+    return flatten.described(products).select(
         "offer_url",
         F.col("slice").cast("bigint").alias("slice"),
         "sku",
@@ -234,7 +235,7 @@ def plan_products_index(spark, sf_dir):
 )
 def filter_plan_without_sku(spark, sf_dir):
     entries = flatten.plan_entries(A.plan_documents(spark, sf_dir))
-    return entries.where(F.col("priced").isNotNull()).select(
+    return entries.select(
         "service_code", "region_code", "sku", F.col("slice").cast("bigint").alias("slice")
     )
 

@@ -4,17 +4,12 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratebook import schemas
 from ratebook.functions import exprs as X
 
-# A product or the prices of a sku are identified within a slice of a document, so
-# no key gathers more than a slice holds.  The sku comes first: it is what tells rows
-# apart in a sort, urls share a long prefix.
-SKU = ("sku", "slice", "offer_url")
-
 _CONTEXT = (
     "offer_url",
     "slice",
@@ -27,51 +22,6 @@ _CONTEXT = (
 )
 
 
-def _null_like(documents: DataFrame, column: str) -> Column:
-    return F.lit(None).cast(documents.select(column).schema[0].dataType)
-
-
-def service_entries(
-    documents: DataFrame, *, include_reserved: bool = True
-) -> DataFrame:
-    """One row per product, and one per (bucket, sku) with that sku's map of terms.
-
-    Both come out of a single pass over the documents: (sku, pos, product) are set
-    on a product's row, (sku, term_type, priced) on a row of terms.
-    """
-    buckets = ("OnDemand", "Reserved") if include_reserved else ("OnDemand",)
-    no_products = _null_like(documents, "products")
-    no_terms = _null_like(documents, "terms.OnDemand")
-    parts = [
-        F.struct(
-            F.lit(None).cast("string").alias("term_type"),
-            F.col("products"),
-            no_terms.alias("terms"),
-        ),
-        *[
-            F.struct(
-                F.lit(bucket).alias("term_type"),
-                no_products.alias("products"),
-                F.col(f"terms.{bucket}").alias("terms"),
-            )
-            for bucket in buckets
-        ],
-    ]
-    return (
-        documents.select(*_CONTEXT, F.inline(F.array(*parts)))
-        .select(
-            *_CONTEXT,
-            "term_type",
-            "terms",
-            F.posexplode_outer("products").alias("pos", "product_sku", "product"),
-        )
-        .select("*", F.explode_outer("terms").alias("term_sku", "priced"))
-        .withColumn("sku", F.coalesce("product_sku", "term_sku"))
-        .where(F.col("sku").isNotNull())
-        .drop("terms", "product_sku", "term_sku")
-    )
-
-
 def last_wins(members: Column | str) -> Column:
     """A map whose repeated keys have their last value, as a JSON object's members do."""
     return F.map_from_entries(F.map_entries(members))
@@ -112,92 +62,49 @@ def priced_entries(documents: DataFrame, *, include_reserved: bool = True) -> Da
     )
 
 
-def plan_entries(documents: DataFrame) -> DataFrame:
-    """The same for plan documents: products (a list in some documents, a map in
-    others) and the plans that have a sku."""
+def plan_products() -> Column:
+    """A plan document's products by sku: they are a list in some documents, of whose entries
+    the last one of a sku counts, and a map in others."""
     is_list = F.ltrim("products").startswith("[")
     listed = F.from_json(F.when(is_list, F.col("products")), schemas.PLAN_PRODUCT_LIST)
     named = F.from_json(F.when(~is_list, F.col("products")), schemas.PLAN_PRODUCT_MAP)
-    plans = F.col("terms.savingsPlan")
-    shapes = documents.select(
-        listed.alias("listed"), named.alias("named"), plans.alias("plans")
+    entry = F.transform(
+        F.filter(listed, lambda p: p["sku"] != ""),
+        lambda p: F.struct(p["sku"], F.struct(p["productFamily"], p["attributes"])),
     )
-    nulls = {c: _null_like(shapes, c).alias(c) for c in shapes.columns}
-    parts = [
-        F.struct(*(nulls | {"listed": listed.alias("listed")}).values()),
-        F.struct(*(nulls | {"named": named.alias("named")}).values()),
-        F.struct(*(nulls | {"plans": plans.alias("plans")}).values()),
-    ]
-    product = F.coalesce(
-        F.when(
-            F.col("entry").isNotNull(), F.struct("entry.productFamily", "entry.attributes")
+    return F.coalesce(F.map_from_entries(entry), last_wins(named))
+
+
+def plan_entries(documents: DataFrame) -> DataFrame:
+    """One row per plan that has a sku, and its product.
+
+    Products are looked up in the document's own map while the plans are unfolded, so nothing
+    is shuffled.  A document names few skus; its many rates are inside the plans.
+    """
+    with_sku = F.filter("terms.savingsPlan", lambda plan: plan["sku"] != "")
+    entries = F.transform(
+        with_sku,
+        lambda plan: F.struct(
+            plan["sku"].alias("sku"),
+            plan.alias("priced"),
+            F.try_element_at("all_products", plan["sku"]).alias("product"),
         ),
-        F.col("named_product"),
     )
-    return (
-        documents.select(*_CONTEXT, F.inline(F.array(*parts)))
-        .select(
-            *_CONTEXT,
-            "named",
-            "plans",
-            F.posexplode_outer("listed").alias("list_pos", "entry"),
-        )
-        .select(
-            *_CONTEXT,
-            "plans",
-            "list_pos",
-            "entry",
-            F.posexplode_outer("named").alias("map_pos", "named_sku", "named_product"),
-        )
-        .select("*", F.explode_outer("plans").alias("priced"))
-        .withColumn("pos", F.coalesce("list_pos", "map_pos"))
-        .withColumn("product", product)
-        .withColumn("sku", F.coalesce("entry.sku", "named_sku", "priced.sku"))
-        .where(F.col("sku") != "")
-        .select(*_CONTEXT, "pos", "product", "sku", "priced")
+    return documents.withColumn("all_products", plan_products()).select(
+        *_CONTEXT, F.inline(entries)
     )
 
 
-def _product_columns(rows: DataFrame, product: Column) -> DataFrame:
+def described(entries: DataFrame) -> DataFrame:
+    """Entries with the columns that come from their product; a price without one is kept."""
     return (
-        rows.withColumn("found", product)
-        .withColumn("product_family", F.col("found.productFamily"))
-        .withColumn("attributes", X.json_or_null(F.col("found.attributes")))
+        entries.withColumn("product_family", F.col("product.productFamily"))
+        .withColumn("attributes", X.json_or_null(F.col("product.attributes")))
         .withColumn("service_name", X.service_name(F.col("attributes")))
-        .drop("found")
-    )
-
-
-def _last_product() -> Column:
-    """A sku listed twice: the later entry counts."""
-    return F.max_by("product", "pos")
-
-
-def products_index(entries: DataFrame) -> DataFrame:
-    """(document, sku) -> product."""
-    products = (
-        entries.where(F.col("product").isNotNull())
-        .groupBy(*SKU)
-        .agg(_last_product().alias("product"))
-    )
-    return _product_columns(products, F.col("product")).select(
-        *SKU, "product_family", "attributes", "service_name"
+        .drop("product")
     )
 
 
-def with_products(entries: DataFrame) -> DataFrame:
-    """Left join of priced skus with products on the sku.
-
-    A price without a product is kept, a product without a price is not.  Both sides
-    are already rows of one frame, so the join is one shuffle of it: each sku's few
-    rows meet while its terms are still nested.
-    """
-    matched = entries.withColumn(
-        "product", _last_product().over(Window.partitionBy(*SKU))
-    ).where(F.col("priced").isNotNull())
-    return _product_columns(matched, F.col("product")).drop("pos", "product")
-
-
 def service_rates(rows: DataFrame) -> DataFrame:
     """Explode sku -> term -> price dimension; of repeated members the last counts."""
     terms = rows.select("*", F.explode(last_wins("priced")).alias("term_id", "term")).drop(
@@ -245,7 +152,7 @@ def flatten_service_offers(
 ) -> DataFrame:
     """Service documents (with target columns) -> history rows."""
     entries = priced_entries(documents, include_reserved=include_reserved)
-    rates = service_rates(_product_columns(entries, F.col("product")).drop("product"))
+    rates = service_rates(described(entries))
     rates = rates.withColumn("prices", last_wins("rate.pricePerUnit"))
     prices = F.col("prices")
     columns = base_columns(run_date, ingested_at) | {
@@ -287,7 +194,7 @@ def flatten_plan_offers(
     documents: DataFrame, *, run_date: date, ingested_at: datetime
 ) -> DataFrame:
     """Plan documents (with target columns) -> history rows."""
-    rates = plan_rates(with_products(plan_entries(documents)))
+    rates = plan_rates(described(plan_entries(documents)))
     price = F.col("rate.discountedRate.price")
     columns = base_columns(run_date, ingested_at) | {
         "rate_code": F.col("rate.rateCode"),

@@ -142,13 +142,6 @@ def test_repeated_members_last_one_counts(spark, tmp_path):
     assert row.price_per_unit_raw == {"USD": "1"}
 
 
-def test_service_documents_are_not_shuffled(spark, tmp_path, capsys):
-    docs.land_document(tmp_path / "landing", HOME, docs.SAMPLE)
-    flat(spark, tmp_path).explain("simple")
-    plan = capsys.readouterr().out
-    assert "Generate" in plan and "Exchange hashpartitioning" not in plan and "Window" not in plan
-
-
 def test_documents_do_not_share_products(spark, tmp_path):
     """The same sku in two documents, only one of which describes it."""
     bare = {**docs.priced(2), "products": {}}
