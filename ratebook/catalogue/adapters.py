@@ -31,6 +31,7 @@ PUBLISHED = "2024-01-15T08:30:00Z"
 # Slices landed as files of their own are wider, so that files do not get too many.
 SLICE = 1 << 16
 FILE_SLICE = 1 << 21
+LANDED_BUCKETS = 16
 
 _LANDED: dict[tuple[str, str, str], object] = {}
 
@@ -872,6 +873,7 @@ def landing(spark: SparkSession, sf_dir: str) -> Landing:
         service_offers=landed_load_services(spark, sf_dir),
         plan_offers=landed_load_plans(spark, sf_dir),
         base_url=BASE_URL,
+        buckets=LANDED_BUCKETS,
     )
 
 
@@ -880,7 +882,11 @@ def _versioned(bodies: DataFrame, newest: DataFrame, path: str) -> str:
     moved = bodies.join(written_keys(newest, f"{path}-urls").frame, "offer_url").select(
         F.col("current_url").alias("offer_url"), "slice", "body"
     )
-    return _land(moved, path, layout="lines", gzip=False)
+    bucket = offers.bucket_of(F.col("offer_url"), LANDED_BUCKETS)
+    moved.select(bucket.alias("bucket"), "offer_url", "body").write.partitionBy(
+        "bucket", "offer_url"
+    ).text(path)
+    return path
 
 
 def landed_load_services(spark: SparkSession, sf_dir: str) -> str:

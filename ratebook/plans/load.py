@@ -44,6 +44,11 @@ class Landing:
     plan_offers: str
     base_url: str
     layout: str = "lines"
+    #: Buckets that the documents' folders are dealt to; 0 if there is no such level.
+    buckets: int = 0
+
+    def folders(self, root: str, targets: DataFrame) -> list[str]:
+        return offers.bucket_folders(root, targets, self.buckets)
 
 
 def fresh_rows(
@@ -57,23 +62,31 @@ def fresh_rows(
     include_reserved: bool,
 ) -> DataFrame:
     """History rows of the changed documents; the others are never opened."""
+    services = changed.where(F.col("offer_type") == "service")
     documents = offers.of_targets(
         offers.read_service_offers(
             spark,
             landing.service_offers,
             layout=landing.layout,
             include_reserved=include_reserved,
+            folders=landing.folders(landing.service_offers, services),
         ),
-        changed.where(F.col("offer_type") == "service"),
+        services,
     )
     stamp = {"run_date": run_date, "ingested_at": ingested_at}
     if not include_plans:
         return flatten.flatten_service_offers(
             documents, include_reserved=include_reserved, **stamp
         )
+    plan_targets = changed.where(F.col("offer_type") == "savings_plan")
     plans = offers.of_targets(
-        offers.read_plan_offers(spark, landing.plan_offers, layout=landing.layout),
-        changed.where(F.col("offer_type") == "savings_plan"),
+        offers.read_plan_offers(
+            spark,
+            landing.plan_offers,
+            layout=landing.layout,
+            folders=landing.folders(landing.plan_offers, plan_targets),
+        ),
+        plan_targets,
     )
     return flatten.flatten_all_offers(
         documents, plans, include_reserved=include_reserved, **stamp
@@ -204,13 +217,11 @@ def _load(
     kinds = {"service": landing.service_offers}
     if include_plans:
         kinds["savings_plan"] = landing.plan_offers
-    to_read = sum(
-        guards.require_landed(
-            changed.where(F.col("offer_type") == kind),
-            offers.landed_documents(spark, root),
-        )
-        for kind, root in kinds.items()
-    )
+    to_read = 0
+    for kind, root in kinds.items():
+        wanted = changed.where(F.col("offer_type") == kind)
+        landed = offers.landed_documents(spark, root, landing.folders(root, wanted))
+        to_read += guards.require_landed(wanted, landed)
 
     # The fresh rows are written once; what was loaded is counted from those files, and the
     # changed services are put in order from them and the carried rows, without flattening

@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import zlib
 from pathlib import Path
 from urllib.parse import quote
 
@@ -93,24 +94,30 @@ def land_document(root: Path, offer_url: str, document, *, name="doc", zipped=Fa
 class Catalogue:
     """A price list on disk: master index, region indexes, documents."""
 
-    def __init__(self, root: Path):
+    def __init__(self, root: Path, buckets: int = 0):
         self.root = root
+        self.buckets = buckets
         (root / "service").mkdir(parents=True)
         (root / "plan").mkdir()
         self.services: dict[str, dict[str, str]] = {}
         self.plans: dict[str, list] = {}
         self.issue = 0
 
+    def folder(self, kind, at):
+        if not self.buckets:
+            return self.root / kind
+        return self.root / kind / f"bucket={zlib.crc32(at.encode()) % self.buckets}"
+
     def offer(self, service, region, version, document):
         at = url(service, region, version)
         self.services.setdefault(service, {})[region] = at
         if document is not None:
-            land_document(self.root / "service", at, document)
+            land_document(self.folder("service", at), at, document)
 
     def offer_plan(self, code, region, version, document):
         at = url(code, region, version, "savingsPlan")
         self.plans.setdefault(code, []).append({"regionCode": region, "versionUrl": at})
-        land_document(self.root / "plan", at, document)
+        land_document(self.folder("plan", at), at, document)
 
     def landing(self, corrupt=()):
         """Write the indexes as they are now and describe the landing."""
@@ -145,6 +152,7 @@ class Catalogue:
             plan_offers=str(self.root / "plan"),
             base_url=BASE,
             layout="file",
+            buckets=self.buckets,
         )
 
 

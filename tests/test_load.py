@@ -15,6 +15,7 @@ from ratebook.operators.guards import LoadRefused
 from ratebook.operators.keys import written_keys
 from ratebook.plans.load import run_load
 from ratebook.plans.writer import Busy, TakenOver, writing
+from ratebook.sources import offers
 from ratebook.sources.book import PriceBook, UnknownContent
 
 DAY1 = datetime(2025, 5, 1, 2, tzinfo=timezone.utc)
@@ -471,6 +472,39 @@ def test_readers_see_one_publish(spark, book):
     assert book.read_live().count() == day_rows(book, day) == 5
 
 
+# --- buckets ----------------------------------------------------------------
+
+
+def test_a_load_opens_the_buckets_of_its_targets(spark, book, tmp_path):
+    catalogue = docs.Catalogue(tmp_path / "bucketed", buckets=32)
+    for k in range(40):
+        catalogue.offer(f"S{k}", "r1", "v1", docs.priced(k + 1))
+    assert counts(load(book, catalogue, DAY1)) == (40, 40, 0)
+    catalogue.offer("S7", "r1", "v2", docs.priced(70))
+    landing = catalogue.landing()
+    # beyond the limit of broadcasts, where no join prunes
+    one = written_keys(
+        spark.createDataFrame(
+            [("S7", "r1", "service", "v2", docs.url("S7", "r1", "v2"))],
+            "service_code string, region_code string, offer_type string, version string, "
+            "offer_url string",
+        ),
+        str(tmp_path / "one"),
+        limit=0,
+    ).frame
+    (folder,) = landing.folders(landing.service_offers, one)
+    read = offers.read_service_offers(
+        spark, landing.service_offers, layout="file", folders=[folder]
+    )
+    listed = {p.rpartition("/offer_url=")[0].rpartition("/")[2] for p in read.inputFiles()}
+    assert listed == {folder.rpartition("/")[2]}
+    assert counts(load(book, catalogue, DAY1 + timedelta(days=1))) == (1, 1, 39)
+    assert live(book)["S7", "r1"] == (1, 70) and len(live(book)) == 40
+    catalogue.offer("S8", "r1", "v2", None)
+    with pytest.raises(LoadRefused, match="not landed"):
+        load(book, catalogue, DAY1 + timedelta(days=2))
+
+
 # --- one writer -------------------------------------------------------------
 
 
