@@ -4,8 +4,9 @@ The patterns give the base spans.  Novelty looks at every other long string with
 that holds letters and digits and has a sensitive word within `AROUND` characters before or
 behind it, on whatever line, or as a part of its own name.  Strings that follow each other line
 by line, as a wrapped value does, are near what any of them is near; all of a PEM block of a
-private key is near.  A compressor is primed with identifiers and with the text around the candidate, and the bytes that the
-candidate adds to the compressed output are measured.  Names, words and repeated strings are
+private key is near.  A compressor is primed with identifiers and with the text around the
+candidate, less its own repetitions, and the bytes that the candidate adds to the compressed
+output are measured.  Names, words and repeated strings are
 found in the dictionary and cost little; a string that costs `NOVEL` bytes a character or more
 is incompressible, and is reported.  Random strings over small alphabets, and long ones, need
 fewer bytes: a string that costs `LIKE_RANDOM` of what a random one of its alphabet and length
@@ -215,8 +216,9 @@ def novel_spans(
                 continue
             if covered.around(start, stop):
                 continue
-            around = text[max(0, start - AROUND) : start] + text[stop : stop + AROUND]
-            if novel(string, identifiers + around):
+            around = text[max(0, start - AROUND) : start] + " " + text[stop : stop + AROUND]
+            # a secret that stands there twice would otherwise make itself known
+            if novel(string, identifiers + around.replace(string, " ")):
                 found.append(("novel", start, stop))
     return found
 

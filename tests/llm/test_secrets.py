@@ -63,6 +63,12 @@ def test_words_on_adjoining_lines():
         assert novel(form.format(TOKEN)) == [TOKEN], form
 
 
+def test_a_secret_that_stands_there_more_than_once():
+    for form in ("auth {0} and auth {0}", "bearer {0}\n{0}\n\n{0}", "pwd={0}&again={0} {0}"):
+        text = form.format(TOKEN)
+        assert novel(text) == [TOKEN] * text.count(TOKEN), form
+
+
 def test_alphabets_and_lengths():
     alphabets = ("0123456789ABCDEF", string.ascii_uppercase + "234567", string.ascii_lowercase + string.digits,
                  string.ascii_letters + string.digits + "+/")
