@@ -39,6 +39,8 @@ BEGINNINGS = (4, 5, 6)
 RIDGE = 3.0
 STEPS = 400
 KEPT_CHUNKS = 150_000
+#: Counts that a task holds before it hands them on; Spark adds them up.
+COUNTED_AT_ONCE = 50_000
 
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
 
@@ -208,6 +210,17 @@ def _count_features():
          ("positive", pa.int64()), ("negative", pa.int64())]
     )
 
+    def counted(counts: Counter) -> pa.RecordBatch:
+        keys = sorted({key[:3] for key in counts})
+        return batch_of(
+            schema,
+            feature=[f for f, _, _ in keys],
+            category=[k for _, k, _ in keys],
+            fold=[fold for _, _, fold in keys],
+            positive=[counts[(*key, 1)] for key in keys],
+            negative=[counts[(*key, 0)] for key in keys],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
@@ -217,15 +230,10 @@ def _count_features():
                 for k, label in enumerate(labels):
                     if label is not None:
                         counts.update((f, k, fold, int(label)) for f in found)
-        keys = sorted({key[:3] for key in counts})
-        yield batch_of(
-            schema,
-            feature=[f for f, _, _ in keys],
-            category=[k for _, k, _ in keys],
-            fold=[fold for _, _, fold in keys],
-            positive=[counts[(*key, 1)] for key in keys],
-            negative=[counts[(*key, 0)] for key in keys],
-        )
+                if len(counts) > COUNTED_AT_ONCE:
+                    yield counted(counts)
+                    counts.clear()
+        yield counted(counts)
 
     return run
 
