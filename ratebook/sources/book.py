@@ -259,6 +259,8 @@ class PriceBook:
             if live not in (days or {}) and live not in self._state.days:
                 raise ValueError(f"{live} was never published")
             moved.append(("live", live, None, ""))
+        if not moved:
+            return
         number = self._append_pointers(moved)
         pointers = [Row(**dict(zip(schemas.POINTERS.names, (number, *m)))) for m in moved]
         self._add_parts(p for p in pointers if p.kind in ("history", "append"))

@@ -79,6 +79,11 @@ def test_provisioning_twice_keeps_content(spark, book):
     assert not spark.catalog.tableExists(f"{book.database}.live")
 
 
+def test_publishing_nothing_changes_nothing(spark, book):
+    book.publish({})
+    assert book.partition_dates() == [] and book.files.names(f"{book.location}/pointers") == []
+
+
 def test_latest_previous_partition_skips_empty_days(spark, book):
     assert book.latest_previous_partition(D3) is None
     book.publish(
