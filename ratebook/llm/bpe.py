@@ -1,11 +1,14 @@
 """BPE encoding and decoding by tree concatenation.
 
-Ordinary texts are encoded chunk by chunk (see `tokens`).  A text that holds a word of more
-than `LONG` symbols, which the tokenizer does not split, is taken apart: the words around
-are encoded at once, and the long word is cut into leaves that Spark encodes in parallel.
-Neighbouring encodings are then joined in a tree: the symbols of the last tokens on the left
-and the first ones on the right are encoded again, in a window that doubles until its first
-token is the one that the left side has there and its last token the one of the right side.
+Ordinary texts are encoded chunk by chunk (see `tokens`).  A long text, of more than `HALVED`
+characters or with a word of more than `LONG` symbols, is one row of symbols, in which the
+last symbol of a word carries its end.  The row is cut into leaves of `LONG` symbols, wherever
+that falls, and Spark encodes the leaves in parallel.  Neighbouring encodings are then joined
+in a tree, `BRANCH` leaves in a task and then the branches of a text: the symbols of the last
+tokens on the left and the first ones on the right are encoded again, in a window that doubles
+until its first token is the one that the left side has there and its last token the one of
+the right side.  A cut that falls between two words needs no window: nothing joins across the
+end of a word.
 
 Why that is exact: a row of tokens is the encoding of its text exactly if every two
 neighbours are the encoding of theirs.  Pairs inside the left side, inside the window and
@@ -29,8 +32,14 @@ from pyspark.sql import functions as F
 from ratebook.llm.common import batch_of, prepare, slices, stored, texts
 from ratebook.llm.tokens import _SUFFIX, WordBpe, encoder
 
-#: Words of more symbols are encoded as a tree of leaves of about this many.
+#: Symbols of a leaf; a text with a longer word is encoded as a tree of leaves.
 LONG = 1 << 12
+#: So is one of more characters.
+HALVED = 1 << 14
+#: Neighbouring leaves that one task joins.
+BRANCH = 16
+#: Encodings of words that a worker keeps.
+KEPT_WORDS = 100_000
 #: Tokens on each side of a join that are encoded again at first.
 WINDOW = 4
 
@@ -91,13 +100,20 @@ def concatenate(left: list[str], right: list[str], encode: Encode, window: int =
             a, b = 2 * a, 2 * b
 
 
-def tree(leaves: list[list[str]], encode: Encode) -> list[str]:
-    """Neighbours joined level by level."""
+def tree(leaves: list[list[str]], encode: Encode, opened: list[bool] | None = None) -> list[str]:
+    """Neighbours joined level by level; `opened` says which leaves end inside a word."""
+    opened = opened or [True] * len(leaves)
     while len(leaves) > 1:
         leaves = [
-            concatenate(*leaves[k : k + 2], encode) if k + 1 < len(leaves) else leaves[k]
-            for k in range(0, len(leaves), 2)
+            side
+            if k + 1 == len(leaves)
+            else concatenate(side, leaves[k + 1], encode)
+            if opened[k]
+            else side + leaves[k + 1]
+            for k, side in enumerate(leaves)
+            if k % 2 == 0
         ]
+        opened = [*opened[1::2], *opened[len(opened) - len(opened) % 2 :]]
     return leaves[0] if leaves else []
 
 
@@ -135,47 +151,51 @@ def _encode_plain(path: str, digest: bool):
 
 
 _LEAVES = pa.schema(
-    [("row", pa.int64()), ("part", pa.int64()), ("leaf", pa.int64()),
+    [("row", pa.int64()), ("part", pa.int64()), ("leaf", pa.int64()), ("opened", pa.bool_()),
      ("symbols", pa.string()), ("ids", pa.list_(pa.int32()))]
 )
+_LEAF_COLUMNS = (
+    "row long, part long, leaf long, opened boolean, symbols string, ids array<int>"
+)
+
+
+def cut_leaves(words: list[str], long: int) -> Iterator[tuple[str, bool]]:
+    """Every `long` symbols of the words, a blank between words, and whether a word goes on."""
+    leaf: list[str] = []
+    room = long
+    for word in words:
+        while len(word) > room:
+            yield " ".join([*leaf, word[:room]] if room else leaf), room > 0
+            word, leaf, room = word[room:], [], long
+        leaf.append(word)
+        room -= len(word)
+    yield " ".join(leaf), False
 
 
 def _take_apart(path: str, long: int):
-    """Encoded stretches, and leaves of long words that are still to be encoded."""
+    """Leaves of long texts; a special string is a part of its own between two others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = encoder(WordBpe, path).library
         specials = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
+
+        def leaves_of(text: str) -> Iterator[tuple[bool, str | None, list[int] | None]]:
+            if text in specials:
+                yield False, None, [specials[text]]
+                return
+            shown = tokenizer.normalizer.normalize_str(text)
+            words = [word for word, _ in tokenizer.pre_tokenizer.pre_tokenize_str(shown)]
+            for symbols, opened in cut_leaves(words, long):
+                yield opened, symbols, None
+
         for batch in batches:
             for row in batch.to_pylist():
-                out = {name: [] for name in _LEAVES.names}
-
-                def add(part, leaf, symbols, ids):
-                    for name, value in zip(
-                        _LEAVES.names, (row["row"], part, leaf, symbols, ids)
-                    ):
-                        out[name].append(value)
-
-                part = 0
-                for text in _between(row["text"], list(specials)):
-                    if text in specials:
-                        add(part, 0, None, [specials[text]])
-                        part += 1
-                        continue
-                    shown = tokenizer.normalizer.normalize_str(text)
-                    ready: list[int] = []
-                    for word, _ in tokenizer.pre_tokenizer.pre_tokenize_str(shown):
-                        if len(word) <= long:
-                            ready += [t.id for t in tokenizer.model.tokenize(word)]
-                            continue
-                        add(part, 0, None, ready)
-                        ready, part = [], part + 1
-                        for leaf, start in enumerate(range(0, len(word), long)):
-                            add(part, leaf, word[start : start + long], None)
-                        part += 1
-                    add(part, 0, None, ready)
-                    part += 1
-                yield batch_of(_LEAVES, **out)
+                rows = [
+                    (row["row"], part, leaf, *values)
+                    for part, text in enumerate(_between(row["text"], list(specials)))
+                    for leaf, values in enumerate(leaves_of(text))
+                ]
+                yield batch_of(_LEAVES, **dict(zip(_LEAVES.names, map(list, zip(*rows)))))
 
     return run
 
@@ -195,14 +215,29 @@ def _between(text: str, marks: list[str]) -> list[str]:
     return [p for p in parts if p]
 
 
+class _Known(dict):
+    """Word -> its ids, kept."""
+
+    def __init__(self, model) -> None:
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, word: str) -> list[int]:
+        if len(self) > KEPT_WORDS:
+            self.clear()
+        found = self[word] = [t.id for t in self.model.tokenize(word)]
+        return found
+
+
 def _encode_leaves(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(WordBpe, path)
+        known = _Known(encoder(WordBpe, path).library.model)
         for batch in batches:
             rows = batch.to_pylist()
             for row in rows:
                 if row["ids"] is None:
-                    row["ids"] = [t.id for t in words.library.model.tokenize(row["symbols"])]
+                    words = row["symbols"].split(" ") if row["symbols"] else []
+                    row["ids"] = [i for word in words for i in known[word]]
             yield batch_of(
                 _LEAVES,
                 **{n: [r[n] if n != "symbols" else None for r in rows] for n in _LEAVES.names},
@@ -211,20 +246,47 @@ def _encode_leaves(path: str):
     return run
 
 
-def _join_leaves(path: str):
+def _joined(words: WordBpe, rows: list[dict]) -> list[int]:
+    """The ids of neighbouring leaves as one row."""
+    if len(rows) == 1:
+        return rows[0]["ids"]
+    named = [[words.names[i] for i in row["ids"]] for row in rows]
+    found = tree(
+        named, lambda symbols: sweep_bpe(words.ranks, symbols), [row["opened"] for row in rows]
+    )
+    return [words.vocabulary[t] for t in found]
+
+
+_BRANCHES = pa.schema(
+    [("row", pa.int64()), ("part", pa.int64()), ("leaf", pa.int64()), ("opened", pa.bool_()),
+     ("ids", pa.list_(pa.int32()))]
+)
+
+
+def _join_branch(path: str):
+    """Some neighbouring leaves of a part as one."""
+
+    def run(key, table):
+        rows = table.sort_by("leaf").to_pylist()
+        ids = _joined(encoder(WordBpe, path), rows)
+        row, part, leaf = (k.as_py() for k in key)
+        return pa.table(
+            [[row], [part], [leaf], [rows[-1]["opened"]], pa.array([ids], pa.list_(pa.int32()))],
+            schema=_BRANCHES,
+        )
+
+    return run
+
+
+def _join_branches(path: str):
+    """All of a text."""
+
     def run(key, table):
         words = encoder(WordBpe, path)
-        parts: dict[int, list[list[int]]] = {}
+        parts: dict[int, list[dict]] = {}
         for row in table.sort_by([("part", "ascending"), ("leaf", "ascending")]).to_pylist():
-            parts.setdefault(row["part"], []).append(row["ids"])
-        ids: list[int] = []
-        for leaves in parts.values():
-            if len(leaves) == 1:
-                ids += leaves[0]
-            else:
-                named = [[words.names[i] for i in leaf] for leaf in leaves]
-                found = tree(named, lambda symbols: sweep_bpe(words.ranks, symbols))
-                ids += [words.vocabulary[t] for t in found]
+            parts.setdefault(row["part"], []).append(row)
+        ids = [i for rows in parts.values() for i in _joined(words, rows)]
         return pa.table(
             {"row": [key[0].as_py()], "ids": pa.array([ids], pa.list_(pa.int32()))}
         )
@@ -239,27 +301,34 @@ def _encoded(
     id_col: str = "doc_id",
     text_col: str = "text",
     long: int = LONG,
+    halved: int = HALVED,
 ) -> DataFrame:
     prepare(docs.sparkSession)
     plain = texts(docs, id_col, text_col)
     # A symbol is a byte; a run of fewer characters than this holds no long word.
-    unsplit = F.col("text").rlike(f"(?<![^ \\n\\t\\r])[^ \\n\\t\\r]{{{max(1, long // 8)},}}")
-    ready = plain.where(~unsplit).mapInArrow(
+    apart = (F.length("text") > halved) | F.col("text").rlike(
+        f"(?<![^ \\n\\t\\r])[^ \\n\\t\\r]{{{max(1, long // 8)},}}"
+    )
+    ready = plain.where(~apart).mapInArrow(
         _encode_plain(path, digest), _DIGEST_COLUMNS if digest else "doc_id long, ids array<int>"
     )
     rows = stored(
-        plain.where(unsplit).withColumn("row", F.monotonically_increasing_id()), "unsplit-texts"
+        plain.where(apart).withColumn("row", F.monotonically_increasing_id()), "long-texts"
     )
-    schema = "row long, part long, leaf long, symbols string, ids array<int>"
     joined = (
         rows.select("row", "text")
-        .mapInArrow(_take_apart(path, long), schema)
+        .mapInArrow(_take_apart(path, long), _LEAF_COLUMNS)
         .repartition("row", "part", "leaf")
-        .mapInArrow(_encode_leaves(path), schema)
+        .mapInArrow(_encode_leaves(path), _LEAF_COLUMNS)
+        .drop("symbols")
+        .groupBy("row", "part", F.expr(f"leaf div {BRANCH}").alias("branch"))
+        .applyInArrow(
+            _join_branch(path), "row long, part long, leaf long, opened boolean, ids array<int>"
+        )
         .groupBy("row")
-        .applyInArrow(_join_leaves(path), "row long, ids array<int>")
+        .applyInArrow(_join_branches(path), "row long, ids array<int>")
     )
-    # a text of special strings and blanks alone has a row too; an empty one is not unsplit
+    # a text of special strings and blanks alone has a row too; an empty one is not taken apart
     joined = rows.select("row", "doc_id").join(joined, "row").drop("row")
     return ready.unionByName(digests(joined, path) if digest else joined)
 

@@ -66,6 +66,30 @@ def test_trees_of_any_cut_agree_with_the_whole(words):
             assert names(bpe.symbols_of(word + tokens._SUFFIX)) == whole
 
 
+def test_trees_of_texts_cut_anywhere_agree_with_the_whole(words, corpus):
+    """Leaves end inside words and between them; no listed pair joins across a word's end."""
+    own = encoder(WordBpe, words)
+    assert not any(left.endswith(tokens._SUFFIX) for left, _ in own.ranks)
+    model, rng = own.library.model, random.Random(5)
+
+    def names(symbols):
+        return bpe.sweep_bpe(own.ranks, symbols)
+
+    for _, text in corpus[:40]:
+        shown = own.library.normalizer.normalize_str(text or "")
+        whole = [w for w, _ in own.library.pre_tokenizer.pre_tokenize_str(shown)]
+        cuts = list(bpe.cut_leaves(whole, rng.randint(1, 60)))
+        leaves = [[t.value for w in leaf.split(" ") if w for t in model.tokenize(w)] for leaf, _ in cuts]
+        found = bpe.tree(leaves, names, [opened for _, opened in cuts])
+        assert found == [t.value for w in whole for t in model.tokenize(w)]
+
+
+def test_leaves():
+    assert list(bpe.cut_leaves(["abcd", "ef", "ghi"], 4)) == [("abcd", False), ("ef gh", True), ("i", False)]
+    assert list(bpe.cut_leaves(["abcdefghij"], 4)) == [("abcd", True), ("efgh", True), ("ij", False)]
+    assert list(bpe.cut_leaves([], 4)) == [("", False)]
+
+
 def long_rows():
     rng = random.Random(3)
     return [
@@ -74,6 +98,9 @@ def long_rows():
         (22, "x" * 900 + "<|endoftext|>" + "!" * 2000),
         (23, " ".join(f"w{n}" for n in range(3000))),
         (24, "y\n\n  z " * 800),
+        (25, " \n" * 900),
+        (26, "<|endoftext|>" * 80),
+        (27, "Straße İstanbul 🙂 naïve 0123 don't " * 200),
     ]
 
 
@@ -99,6 +126,15 @@ def test_encode_and_decode(documents, words, odd, corpus):
     assert ordered(found) == ordered(want)
 
 
+def test_long_texts_go_by_the_tree(documents, words, corpus):
+    """Any cut of any long text gives the library's ids, also over several branches."""
+    rows = long_rows() + corpus
+    lib = library(words)
+    ids = [(i, lib.encode(t or "", add_special_tokens=False).ids) for i, t in rows]
+    made = bpe.encode(documents(rows), words, long=61, halved=300).collect()
+    assert ordered((r.doc_id, list(r.ids)) for r in made) == ordered(ids)
+
+
 def test_counts_with_overlaps(documents, pieces, odd, corpus):
     rows = odd + long_rows() + corpus[:30]
     found = token_counts.count_tokens(documents(rows), pieces, chunk=600, overlap=200)
