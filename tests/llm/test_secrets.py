@@ -69,6 +69,43 @@ def test_a_secret_that_stands_there_more_than_once():
         assert novel(text) == [TOKEN] * text.count(TOKEN), form
 
 
+CODE = """
+def access_token_for(user, session): return userSessionById2(user)
+private static final UserRepository repositoryForTenant2Accounts = getUserById2FromDatabaseConnectionPool();
+# auth: see test_authentication_2_factor_login_flow and OAuth2AuthorizationCodeGrantRequest
+public void private_method_name_1(HttpServletRequest2 request) { credentialProviderFactory2.createInstance(); }
+access id 123e4567-e89b-42d3-a456-426614174000 bearer utf8EncodedStringBuilder2 application/json-patch2
+"""
+
+
+def test_ordinary_code_is_no_secret():
+    assert not novel(CODE)
+    # names of the text itself are known, wherever they stand
+    made_up = "Zorblat Quenfig Mirtaxo Plivund"
+    text = "private method zorblatQuenfig2MirtaxoPlivund"
+    assert not novel(made_up + " word" * 400 + "\n" + text)
+    assert novel(CODE + "\nauth " + TOKEN) == [TOKEN]
+
+
+def test_letters_alone():
+    values = ["".join(RANDOM.choice(string.ascii_letters) for _ in range(32)) for _ in range(100)]
+    assert sum(novel("private_key: " + v) == [v] for v in values) >= 90
+    for name in ("getUserByIdFromDatabaseConnectionPool", "HTTPSConnectionPoolManager", "antidisestablishmentarianism"):
+        assert not novel("private_key: " + name), name
+
+
+def test_costs_of_what_the_patterns_find():
+    text = f"password=your_api_key_here\ntoken: {TOKEN}\nsecret = changeme and {'0a' * 12}"
+    got = [(k, text[a:b].split()[-1], incompressible) for k, a, b, _, incompressible in secret_scan.measured(text)]
+    assert got == [
+        ("assign", "password=your_api_key_here", False), ("assign", TOKEN, True),
+        ("assign", "changeme", False), ("hex", "0a" * 12, False),
+    ]
+    costs = {b - a: n for _, a, b, n, _ in secret_scan.measured(text)}
+    assert costs[len("token: " + TOKEN)] > 0.7 * len(TOKEN) > 20 > costs[24]
+    assert [m[:3] for m in secret_scan.measured(text)] == secret_scan.spans(text)
+
+
 def test_alphabets_and_lengths():
     alphabets = ("0123456789ABCDEF", string.ascii_uppercase + "234567", string.ascii_lowercase + string.digits,
                  string.ascii_letters + string.digits + "+/")
@@ -124,6 +161,12 @@ def test_scan(documents, odd):
     )
     got = sorted((-1 if r.doc_id is None else r.doc_id, r.spans, r.base_sha256) for r in found)
     assert got == want
+    sums = sorted(
+        (-1 if i is None else i, sum(m[3] for m in secret_scan.measured(t or "")),
+         sum(m[4] for m in secret_scan.measured(t or "")))
+        for i, t in rows
+    )
+    assert sums == sorted((-1 if r.doc_id is None else r.doc_id, r.cost_bytes, r.n_incompressible) for r in found)
     empty = hashlib.sha256(b"").hexdigest()
     assert {r.base_sha256 for r in found if r.doc_id in (1, 2) and not r.spans} <= {empty}
     assert secret_scan.scan(documents([])).count() == 0
