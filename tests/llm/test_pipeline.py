@@ -39,4 +39,4 @@ def test_run_is_registered(spark):
 
 def test_every_operator_has_its_query():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
