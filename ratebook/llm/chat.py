@@ -10,10 +10,19 @@ A conversation is rendered in parts of at most `PART` turns, so no row grows wit
 Turns get their places in the conversation from one range-partitioned sort and the counts of
 its partitions; no task ever holds a conversation.
 
+A context turn stands in the part that its place falls in, so instructions at the beginning
+are in the first part alone.
+
+What a text or a name says is never a mark.  In texts each `<|` gets a backslash between its
+two characters, and where backslashes stand there already (`<\\|`) one more; taking one
+away gives the text back.  In names backslashes are doubled, `|` becomes `\\|` and a line feed
+`\\n`, so a head is one line.  Masks and lengths count what is rendered.
+
 Only DataFrame functions are used.  Defined cases: turns are ordered by turn (nulls last),
 speaker and text; a null text is empty; a null or empty speaker is "unknown"; rows without a
 conversation id form one conversation of their own; repeated rows are repeated turns; a
-conversation of context turns alone has no participants and no rows.
+conversation of context turns alone has no participants and no rows; texts are rendered whole;
+columns other than the four named ones are not read.
 """
 
 from __future__ import annotations
@@ -58,6 +67,16 @@ def placed(rows: DataFrame, group: str, order: list[Column]) -> DataFrame:
     )
 
 
+def escaped_text(text: Column) -> Column:
+    return F.regexp_replace(text, r"<(\\*)\|", r"<\\$1|")
+
+
+def escaped_name(name: Column) -> Column:
+    for plain, written in (("\\", r"\\"), ("|", r"\|"), ("\n", r"\n")):
+        name = F.replace(name, F.lit(plain), F.lit(written))
+    return name
+
+
 def perspectives(
     turns: DataFrame,
     conversation: str = "conv_id",
@@ -80,9 +99,18 @@ def perspectives(
         rows, "conv_id", [F.col("turn").asc_nulls_last(), F.col("speaker"), F.col("text")]
     )
     parts = (
-        rows.withColumn("part", F.floor(F.col("place") / F.lit(part)))
+        rows.select(
+            "conv_id",
+            F.floor(F.col("place") / F.lit(part)).alias("part"),
+            F.struct(
+                "place",
+                "speaker",
+                escaped_name(F.col("speaker")).alias("name"),
+                escaped_text(F.col("text")).alias("text"),
+            ).alias("said"),
+        )
         .groupBy("conv_id", "part")
-        .agg(F.array_sort(F.collect_list(F.struct("place", "speaker", "text"))).alias("turns"))
+        .agg(F.array_sort(F.collect_list("said")).alias("turns"))
     )
     sides = (
         rows.where(~F.col("speaker").isin(*context) if context else F.lit(True))
@@ -92,9 +120,9 @@ def perspectives(
     own = F.col("participant")
 
     def head(t: Column) -> Column:
-        named = F.concat(F.lit("<|user:"), t["speaker"], F.lit("|>\n"))
+        named = F.concat(F.lit("<|user:"), t["name"], F.lit("|>\n"))
         if context:
-            kept = F.concat(F.lit("<|"), t["speaker"], F.lit("|>\n"))
+            kept = F.concat(F.lit("<|"), t["name"], F.lit("|>\n"))
             named = F.when(t["speaker"].isin(*context), kept).otherwise(named)
         return F.when(t["speaker"] == own, F.lit("<|assistant|>\n")).otherwise(named)
 
@@ -141,7 +169,7 @@ def perspectives(
 
 
 #: The same rows on a table `conversations` (conv_id, turn, role, text).
-SQL = f"""
+SQL = rf"""
 WITH turns AS (
   SELECT conv_id, COALESCE(NULLIF(role, ''), 'unknown') AS speaker, COALESCE(text, '') AS text,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST,
@@ -150,10 +178,12 @@ WITH turns AS (
 sides AS (SELECT DISTINCT conv_id, speaker AS participant FROM turns WHERE speaker <> 'system'),
 said AS (
   SELECT t.conv_id, participant, place // {PART} AS part, place,
-         speaker = participant AS own, text || '{END}' AS body,
+         speaker = participant AS own,
+         regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '{END}' AS body,
          CASE WHEN speaker = participant THEN '<|assistant|>'
               WHEN speaker = 'system' THEN '<|system|>'
-              ELSE '<|user:' || speaker || '|>' END || chr(10) AS head
+              ELSE '<|user:' || replace(replace(replace(speaker, '\', '\\'), '|', '\|'),
+                                        chr(10), '\n') || '|>' END || chr(10) AS head
   FROM turns t JOIN sides s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
 measured AS (
   SELECT *, CAST(SUM(length(head) + length(body) + 1)
