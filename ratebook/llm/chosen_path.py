@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratebook.llm.common import NO_ID, batch_of, keyed, prepare, real_id, slices, stored
+from ratebook.llm.common import batch_of, keyed, prepare, real_id, slices, stored, whole
 from ratebook.llm.components import components
 from ratebook.llm.suffix_dedup import _BASES, Rolling, mixed
 
@@ -429,17 +429,12 @@ def one_of_each(
     heads = (
         classes(docs, id_col, text_col, **options)
         .where((F.col("did") == F.col("head.did")) & (F.col("sig") == F.col("head.sig")))
-        .select(F.col("did").alias("__did"), F.col("sig").alias("__sig"))
+        .select("did", "sig")
         .distinct()
     )
     return (
-        docs.withColumns(
-            {
-                "__did": F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)),
-                "__sig": F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))),
-            }
-        )
-        .join(heads, ["__did", "__sig"], "left_semi")
-        .dropDuplicates(["__did", "__sig"])
-        .select(*(f"`{c}`" for c in docs.columns))
+        whole(docs, id_col, text_col)
+        .join(heads, ["did", "sig"], "left_semi")
+        .dropDuplicates(["did", "sig"])
+        .select("row.*")
     )

@@ -71,6 +71,15 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
+def whole(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(did, sig, row): as `keyed`, with all columns of a row in one, where no name can clash."""
+    return docs.select(
+        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("did"),
+        F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("sig"),
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+    )
+
+
 def real_id(name: str = "did") -> Column:
     return F.when(F.col(name) != NO_ID, F.col(name)).alias("doc_id")
 

@@ -42,7 +42,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratebook.llm.common import NO_ID, batch_of, keyed, prepare, ragged, real_id, slices, stored
+from ratebook.llm.common import NO_ID, batch_of, keyed, prepare, ragged, real_id, slices, stored, whole
 from ratebook.llm.lyndon import suffix_array
 
 LENGTH = 100
@@ -624,15 +624,7 @@ def without_repeats(
 
     Bytes of a character of which a part was removed go as well.
     """
-    spans = repeats(docs, id_col, text_col, **options).withColumnsRenamed(
-        {"did": "__did", "sig": "__sig", "spans": "__spans"}
-    )
-    marked = docs.withColumns(
-        {
-            "__did": F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)),
-            "__sig": F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))),
-        }
-    )
+    spans = repeats(docs, id_col, text_col, **options)
 
     @F.pandas_udf("string")
     def left(text, found):
@@ -647,9 +639,11 @@ def without_repeats(
             ]
         )
 
-    cut = F.when(F.col("__spans").isNotNull(), left(F.col(f"`{text_col}`"), F.col("__spans")))
+    text = F.col("row").getField(text_col)
+    cut = F.when(F.col("spans").isNotNull(), left(text, F.col("spans")))
     return (
-        marked.join(spans, ["__did", "__sig"], "left")
-        .withColumn(text_col, F.coalesce(cut, F.col(f"`{text_col}`")))
-        .select(*(f"`{c}`" for c in docs.columns))
+        whole(docs, id_col, text_col)
+        .join(spans, ["did", "sig"], "left")
+        .withColumn("row", F.col("row").withField(f"`{text_col}`", F.coalesce(cut, text)))
+        .select("row.*")
     )

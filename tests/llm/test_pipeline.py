@@ -1,10 +1,145 @@
-"""Each stage against its effect on a small corpus."""
+"""Each stage against its effect on a small corpus, against brute force, and on odd rows."""
+
+import random
+from collections import Counter
+
+import pytest
+import test_chosen_path
+import test_suffix_dedup
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from ratebook.llm import secret_scan
+from ratebook.llm.tokens import library
 
 SF = "/root/testdata/sf0.001"
+#: The columns of `documents`, and more that are named as the stages name their own.
+COLUMNS = (
+    "doc_id long, source string, lang string, n_chars long, text string, did long, sig string, "
+    "spans string, row int, head int, p double, labels int, __p int, __did int, __sig int, "
+    "__spans int"
+)
+OTHERS = [7, "s", None, 1, 2, 0.5, 3, 4, 5, None, 6]
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+def table(spark, rows):
+    filled = [(i, "s", "en", None if t is None else len(t), t, *OTHERS) for i, t in rows]
+    return spark.createDataFrame(filled, COLUMNS).repartition(3)
+
+
+def planted():
+    """Texts with near copies, copies, shared passages, secrets, nulls and a very long one."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(900)]
+
+    def text(n):
+        return " ".join(rng.choices(words, k=n))
+
+    rows = [(k, text(rng.randint(30, 160))) for k in range(40)]
+    for k in range(8):  # one word of a hundred differs
+        changed = rows[k][1].split()
+        changed[len(changed) // 2] = "other"
+        rows.append((100 + k, " ".join(changed)))
+    rows += [(120, rows[9][1]), (9, rows[9][1]), (None, rows[10][1])]
+    passage = text(60)
+    rows += [(130 + k, text(40) + " " + passage + " " + text(40)) for k in range(5)]
+    key = "".join(rng.choices("abcdefGHIJK0123456789", k=40))
+    rows += [(140, text(20) + f" password = {key} " + text(20))]
+    rows += [(150, None), (151, ""), (152, "  \n"), (None, "no id"), (None, None), (153, "東京 " * 300)]
+    rows += [(160, text(30_000))]
+    return rows
+
+
+def rows_of(df):
+    return sorted(((-1 if r.doc_id is None else r.doc_id, r.text) for r in df.collect()), key=repr)
+
+
+def plain(rows):
+    return sorted(((-1 if i is None else i, t) for i, t in rows), key=repr)
+
+
+def test_near_copies_against_brute_force(spark):
+    rows = planted()
+    different = list(dict.fromkeys(rows))
+    heads = {(i, c) for i, c, _ in test_chosen_path.brute_force(rows)}
+    kept = STAGES["near_duplicates"](spark, table(spark, rows), SF)
+    assert kept.columns == table(spark, []).columns
+    # with ids alone, the head of a class is the row whose id is the class
+    want = Counter(i for i, _ in plain(different) if i != -1 and (i, i) in heads)
+    found = Counter(i for i, _ in rows_of(kept))
+    assert {i: n for i, n in found.items() if i != -1} == dict(want)
+    # of the rows without id only the copy of another goes
+    assert found[-1] == 2
+    assert all(tuple(r)[5:] == tuple(OTHERS) for r in kept.collect())
+
+
+def test_repeats_against_brute_force(spark):
+    rows = list({i: (i, t) for i, t in planted() if i != 160}.values())
+    kept = STAGES["suffix_array"](spark, table(spark, rows), SF)
+    removed = {i: n for i, _, n, _, _ in test_suffix_dedup.brute_force(rows, 100)}
+    assert sum(n > 0 for n in removed.values()) > 5
+    by = {-1 if r.doc_id is None else r.doc_id: r for r in kept.collect()}
+    assert len(by) == len(rows) and kept.columns == table(spark, []).columns
+    for i, text in plain(rows):
+        r = by[i]
+        assert (r.text is None) == (text is None)
+        assert r.n_chars == (None if r.text is None else len(r.text))
+        if r.text is not None and i != 153:  # 153 loses parts of characters, which go whole
+            assert len(text.encode()) - len(r.text.encode()) == removed[i]
+        assert tuple(r)[5:] == tuple(OTHERS)
+
+
+def test_secrets_against_each_text(spark):
+    rows = planted()
+    cleaned = STAGES["secrets"](spark, table(spark, rows), SF)
+    assert cleaned.columns == table(spark, []).columns
+    assert rows_of(cleaned) == plain(
+        (i, None if t is None else secret_scan.redacted(t)) for i, t in rows
+    )
+    assert next(t for i, t in rows_of(cleaned) if i == 140) != dict(rows)[140]
+
+
+def test_packing_against_the_library(spark, words):
+    rows = planted()
+    found = STAGES["packing"](spark, table(spark, rows), SF).collect()
+    tokens = library(words)
+    want = Counter(
+        (-1 if i is None else i, len(tokens.encode(t or "", add_special_tokens=False).ids) + 1)
+        for i, t in rows
+    )
+    first = [r for r in found if r.start == 0]
+    assert Counter((-1 if r.doc_id is None else r.doc_id, r.doc_tokens) for r in first) == want
+    assert sum(r.length for r in found) == sum(n * k for (_, n), k in want.items())
+    sums = Counter()
+    for r in sorted(found, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == sums[r.sequence_id]
+        sums[r.sequence_id] += r.length
+    assert max(sums.values()) <= 2048
+
+
+def test_toxicity_on_odd_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labelled = [(r.doc_id, r.text) for r in docs.collect()]
+    odd = [(i, t) for i, t in planted() if i is None or i >= 140]
+    odd = [(None if i is None else i + 10**6, t) for i, t in odd]
+    kept = STAGES["toxicity"](spark, table(spark, labelled + odd), SF)
+    assert kept.columns == table(spark, []).columns
+    found = Counter(rows_of(kept))
+    for row in plain(odd):
+        if not row[1]:
+            assert found[row] == 1
+    assert not found - Counter(plain(labelled + odd))
+    assert all(tuple(r)[5:] == tuple(OTHERS) for r in kept.collect())
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_empty_tables(spark, name):
+    empty = table(spark, [])
+    out = STAGES[name](spark, empty, SF)
+    assert out.count() == 0
+    if name != "packing":
+        assert out.columns == empty.columns
 
 
 def test_stages(spark):
