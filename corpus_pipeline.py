@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; all
 but the last return the columns of `documents`.
+
+Defined cases, in every stage: columns beside doc_id, text and n_chars pass through, whatever
+their names; an empty table gives an empty one, with the same columns.  A null or empty text is
+not toxic, is nobody's copy and keeps its null; it is packed as one end mark.  A row without an
+id is judged by its text and stays; as the representative of copies it comes after every id.  Of
+rows that repeat both id and text one stays.  Texts are read and changed whole.
 """
 
 from __future__ import annotations
@@ -18,7 +24,8 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain finds toxic go."""
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"), categories())
     p = chain.column(F.coalesce("text", F.lit("")))[chain.categories.index("toxic")]
-    return docs.withColumn("__p", p).where("__p < 0.5").drop("__p")
+    empty = F.coalesce("text", F.lit("")) == ""
+    return docs.where(empty | (p < 0.5))
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
