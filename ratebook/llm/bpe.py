@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -80,36 +81,41 @@ def concatenate(left: list[str], right: list[str], encode: Encode, window: int =
     """The encoding of the text of both sides, from the encodings of each.
 
     The left side was encoded as if its word ended there, so its last token is always
-    encoded again, without the word end.
+    encoded again, without the word end.  Without `encode` the cut is between two words.
     """
-    if not left or not right:
+    if not (left and right and encode):
         return left + right
+    a, found, b = meeting(left, right, list, encode, window)
+    return left[: len(left) - a] + found + right[b:]
+
+
+def meeting(left, right, named, encode: Encode, window: int = WINDOW) -> tuple[int, list[str], int]:
+    """How many tokens at the end of the left side and at the beginning of the right one give
+    way, and to which; `named` gives the strings of a stretch of either."""
     a = b = window
     while True:
         a, b = min(a, len(left)), min(b, len(right))
-        head, tail = left[len(left) - a :], right[:b]
+        head, tail = named(left[len(left) - a :]), named(right[:b])
         head = [*head[:-1], head[-1].removesuffix(_SUFFIX)]
         found = encode([s for token in head + tail for s in symbols_of(token)])
         # The window's first token must be the left side's and end on its side of the join.
         left_agrees = a == len(left) or (a > 1 and found[0] == head[0])
         right_agrees = b == len(right) or (b > 1 and found[-1] == tail[-1])
         if left_agrees and right_agrees and (len(found) > 1 or a + b == len(left) + len(right)):
-            return left[: len(left) - a] + found + right[b:]
+            return a, found, b
         a, b = (a if left_agrees else 2 * a), (b if right_agrees else 2 * b)
         if left_agrees and right_agrees:
             a, b = 2 * a, 2 * b
 
 
-def tree(leaves: list[list[str]], encode: Encode, opened: list[bool] | None = None) -> list[str]:
+def tree(
+    leaves: list, encode: Encode, opened: list[bool] | None = None, join: Callable = concatenate
+):
     """Neighbours joined level by level; `opened` says which leaves end inside a word."""
     opened = opened or [True] * len(leaves)
     while len(leaves) > 1:
         leaves = [
-            side
-            if k + 1 == len(leaves)
-            else concatenate(side, leaves[k + 1], encode)
-            if opened[k]
-            else side + leaves[k + 1]
+            side if k + 1 == len(leaves) else join(side, leaves[k + 1], encode if opened[k] else None)
             for k, side in enumerate(leaves)
             if k % 2 == 0
         ]
@@ -159,33 +165,27 @@ _LEAF_COLUMNS = (
 )
 
 
-def cut_leaves(words: list[str], long: int) -> Iterator[tuple[str, bool]]:
-    """Every `long` symbols of the words, a blank between words, and whether a word goes on."""
-    leaf: list[str] = []
-    room = long
-    for word in words:
-        while len(word) > room:
-            yield " ".join([*leaf, word[:room]] if room else leaf), room > 0
-            word, leaf, room = word[room:], [], long
-        leaf.append(word)
-        room -= len(word)
-    yield " ".join(leaf), False
+def cut_leaves(symbols: str, long: int) -> Iterator[tuple[str, bool]]:
+    """Every `long` symbols, the blanks between words counted, and whether a word goes on."""
+    for start in range(0, max(1, len(symbols)), long):
+        end = start + long
+        opened = end < len(symbols) and " " not in symbols[end - 1 : end + 1]
+        yield symbols[start:end].strip(" "), opened
 
 
 def _take_apart(path: str, long: int):
     """Leaves of long texts; a special string is a part of its own between two others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = encoder(WordBpe, path).library
+        words = encoder(WordBpe, path)
+        tokenizer = words.library
         specials = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
 
         def leaves_of(text: str) -> Iterator[tuple[bool, str | None, list[int] | None]]:
             if text in specials:
                 yield False, None, [specials[text]]
                 return
-            shown = tokenizer.normalizer.normalize_str(text)
-            words = [word for word, _ in tokenizer.pre_tokenizer.pre_tokenize_str(shown)]
-            for symbols, opened in cut_leaves(words, long):
+            for symbols, opened in cut_leaves(words.shown_words(text), long):
                 yield opened, symbols, None
 
         for batch in batches:
@@ -233,28 +233,39 @@ def _encode_leaves(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Known(encoder(WordBpe, path).library.model)
         for batch in batches:
-            rows = batch.to_pylist()
-            for row in rows:
-                if row["ids"] is None:
-                    words = row["symbols"].split(" ") if row["symbols"] else []
-                    row["ids"] = [i for word in words for i in known[word]]
-            yield batch_of(
-                _LEAVES,
-                **{n: [r[n] if n != "symbols" else None for r in rows] for n in _LEAVES.names},
-            )
+            found = []
+            for symbols, given in zip(batch.column("symbols").to_pylist(), batch.column("ids")):
+                words = symbols.split(" ") if symbols else []
+                found.append(
+                    _array(given)
+                    if symbols is None
+                    else np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int32)
+                )
+            same = {n: batch.column(n) for n in ("row", "part", "leaf", "opened")}
+            yield batch_of(_LEAVES, **same, symbols=pa.nulls(len(found), pa.string()), ids=found)
 
     return run
 
 
-def _joined(words: WordBpe, rows: list[dict]) -> list[int]:
-    """The ids of neighbouring leaves as one row."""
-    if len(rows) == 1:
-        return rows[0]["ids"]
-    named = [[words.names[i] for i in row["ids"]] for row in rows]
-    found = tree(
-        named, lambda symbols: sweep_bpe(words.ranks, symbols), [row["opened"] for row in rows]
-    )
-    return [words.vocabulary[t] for t in found]
+def _joined(path: str, leaves: list[np.ndarray], opened: list[bool]) -> np.ndarray:
+    """The ids of neighbouring leaves as one row; only those in a window become strings."""
+    words, names = encoder(WordBpe, path), _names(path)
+
+    def encode(symbols: list[str]) -> list[str]:
+        return sweep_bpe(words.ranks, symbols)
+
+    def join(left: np.ndarray, right: np.ndarray, encode: Encode | None) -> np.ndarray:
+        if not (len(left) and len(right) and encode):
+            return np.concatenate((left, right))
+        a, found, b = meeting(left, right, lambda ids: names[ids].tolist(), encode)
+        between = np.array([words.vocabulary[t] for t in found], np.int32)
+        return np.concatenate((left[: len(left) - a], between, right[b:]))
+
+    return tree(leaves, encode, opened, join)
+
+
+def _leaves_of(table: pa.Table) -> tuple[list[np.ndarray], list[bool]]:
+    return list(map(_array, table.column("ids"))), table.column("opened").to_pylist()
 
 
 _BRANCHES = pa.schema(
@@ -267,29 +278,29 @@ def _join_branch(path: str):
     """Some neighbouring leaves of a part as one."""
 
     def run(key, table):
-        rows = table.sort_by("leaf").to_pylist()
-        ids = _joined(encoder(WordBpe, path), rows)
+        leaves, opened = _leaves_of(table.sort_by("leaf"))
+        ids = _joined(path, leaves, opened)
         row, part, leaf = (k.as_py() for k in key)
         return pa.table(
-            [[row], [part], [leaf], [rows[-1]["opened"]], pa.array([ids], pa.list_(pa.int32()))],
+            [[row], [part], [leaf], [opened[-1]], pa.array([ids], pa.list_(pa.int32()))],
             schema=_BRANCHES,
         )
 
     return run
 
 
-def _join_branches(path: str):
-    """All of a text."""
+def _join_branches(path: str, digest: bool):
+    """All of a text: its ids, or their digest."""
 
     def run(key, table):
-        words = encoder(WordBpe, path)
-        parts: dict[int, list[dict]] = {}
-        for row in table.sort_by([("part", "ascending"), ("leaf", "ascending")]).to_pylist():
-            parts.setdefault(row["part"], []).append(row)
-        ids = [i for rows in parts.values() for i in _joined(words, rows)]
-        return pa.table(
-            {"row": [key[0].as_py()], "ids": pa.array([ids], pa.list_(pa.int32()))}
-        )
+        table = table.sort_by([("part", "ascending"), ("leaf", "ascending")])
+        # no leaf at the end of a part is open, so parts are joined as words are
+        ids = _joined(path, *_leaves_of(table))
+        row = pa.array([key[0].as_py()], pa.int64())
+        if digest:
+            found = pa.Table.from_batches([_digested(path, row, [ids])])
+            return found.rename_columns(["row", *found.column_names[1:]])
+        return pa.table({"row": row, "ids": pa.array([ids], pa.list_(pa.int32()))})
 
     return run
 
@@ -326,11 +337,14 @@ def _encoded(
             _join_branch(path), "row long, part long, leaf long, opened boolean, ids array<int>"
         )
         .groupBy("row")
-        .applyInArrow(_join_branches(path), "row long, ids array<int>")
+        .applyInArrow(
+            _join_branches(path, digest),
+            _DIGEST_COLUMNS.replace("doc_id", "row") if digest else "row long, ids array<int>",
+        )
     )
     # a text of special strings and blanks alone has a row too; an empty one is not taken apart
     joined = rows.select("row", "doc_id").join(joined, "row").drop("row")
-    return ready.unionByName(digests(joined, path) if digest else joined)
+    return ready.unionByName(joined)
 
 
 def encode(docs: DataFrame, path: str, **options) -> DataFrame:

@@ -164,6 +164,7 @@ class WordBpe(Chunks):
         self._wrong: set[int] = set()
         self._split = regex.compile(_WORDS)
         self._plain = regex.compile(r"[\x03-ɏ]*")
+        self._shown_bytes = {b: c for b, c in self.shown.items() if b != ord(" ")}
 
     def bpe(self, symbols: list[str]) -> list[str]:
         """Join the listed pair of lowest rank, leftmost first, until none is left."""
@@ -179,6 +180,14 @@ class WordBpe(Chunks):
             symbols = [*symbols[:k], symbols[k] + symbols[k + 1], *symbols[k + 2 :]]
         return symbols
 
+    def shown_words(self, text: str) -> str:
+        """The words of a text as the vocabulary writes them, a blank between two."""
+        if self._plain.fullmatch(text):
+            words = " ".join(self._split.findall(text.lower()))
+            return words.encode().decode("latin-1").translate(self._shown_bytes)
+        shown = self.library.normalizer.normalize_str(text)
+        return " ".join(w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(shown))
+
     def _pair_holds(self, left: int, right: int) -> bool:
         a, b = self.names[left], self.names[right]
         word = b.removesuffix(_SUFFIX)

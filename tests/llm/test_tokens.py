@@ -78,16 +78,26 @@ def test_trees_of_texts_cut_anywhere_agree_with_the_whole(words, corpus):
     for _, text in corpus[:40]:
         shown = own.library.normalizer.normalize_str(text or "")
         whole = [w for w, _ in own.library.pre_tokenizer.pre_tokenize_str(shown)]
-        cuts = list(bpe.cut_leaves(whole, rng.randint(1, 60)))
+        cuts = list(bpe.cut_leaves(" ".join(whole), rng.randint(1, 60)))
         leaves = [[t.value for w in leaf.split(" ") if w for t in model.tokenize(w)] for leaf, _ in cuts]
         found = bpe.tree(leaves, names, [opened for _, opened in cuts])
         assert found == [t.value for w in whole for t in model.tokenize(w)]
 
 
+def test_words_are_shown_as_the_library_shows_them(words, odd, corpus):
+    own = encoder(WordBpe, words)
+    rows = odd + corpus + [(1, "\x7f\x85a\xa0b\xadc\x1dd 'S don'T İı ÿ \u024f ''s9²")]
+    for _, text in rows:
+        shown = own.library.normalizer.normalize_str(text or "")
+        split = [w for w, _ in own.library.pre_tokenizer.pre_tokenize_str(shown)]
+        assert own.shown_words(text or "") == " ".join(split)
+
+
 def test_leaves():
-    assert list(bpe.cut_leaves(["abcd", "ef", "ghi"], 4)) == [("abcd", False), ("ef gh", True), ("i", False)]
-    assert list(bpe.cut_leaves(["abcdefghij"], 4)) == [("abcd", True), ("efgh", True), ("ij", False)]
-    assert list(bpe.cut_leaves([], 4)) == [("", False)]
+    assert list(bpe.cut_leaves("abcd ef ghij", 4)) == [("abcd", False), ("ef", False), ("ghij", False)]
+    assert list(bpe.cut_leaves("ab cdefg h", 4)) == [("ab c", True), ("defg", False), ("h", False)]
+    assert list(bpe.cut_leaves("abcdefghij", 4)) == [("abcd", True), ("efgh", True), ("ij", False)]
+    assert list(bpe.cut_leaves("", 4)) == [("", False)]
 
 
 def long_rows():
