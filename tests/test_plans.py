@@ -1,8 +1,10 @@
 """What the physical plans must look like to hold at scale."""
 
 from datetime import timedelta
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 import check
 from ratebook.catalogue import adapters as A
@@ -83,3 +85,55 @@ def test_documents_are_read_once_and_not_shuffled(spark, make):
 def test_landing_groups_within_one_shuffle(spark):
     text = plan(A.service_bodies(spark, SF))
     assert text.count("Exchange hashpartitioning(c_mktsegment") == 1
+
+
+ORDERS = 300
+
+
+@pytest.fixture
+def sold(spark, tmp_path):
+    """Tables of 300 orders in 75 spans, all of two customers in one nation."""
+    tables = {
+        "orders": (
+            [
+                (k << 18, k % 2, "OP"[k % 3 == 0], Decimal(k), f"{k % 5}-MEDIUM")
+                for k in range(ORDERS)
+            ],
+            "o_orderkey long, o_custkey long, o_orderstatus string, "
+            "o_totalprice decimal(18,2), o_orderpriority string",
+        ),
+        "customer": (
+            [(0, "zero", 3, "BUILDING"), (1, "one", 3, "BUILDING")],
+            "c_custkey long, c_name string, c_nationkey int, c_mktsegment string",
+        ),
+        "nation": ([(3, "NATION_3")], "n_nationkey int, n_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        frame = spark.createDataFrame(rows, schema)
+        frame.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("bodies", [A.service_bodies])
+def test_landing_tasks_follow_the_orders(spark, sold, monkeypatch, bodies):
+    """More orders are more tasks, of narrow rows; every order stays in one slice."""
+    monkeypatch.setattr(A, "TASK_ORDERS", 10)
+    landed = bodies(spark, sold)
+    text = plan(landed)
+    assert f", {ORDERS // 10}), REPARTITION_BY_NUM" in text
+    assert "struct(" not in text[text.index("REPARTITION_BY_NUM") :]
+    rows = [r for r in landed.collect() if "SHELL" not in r.offer_url]
+    assert len({(r.offer_url, r.slice) for r in rows}) == len(rows)
+    assert {r.slice for r in rows} == {k << 2 for k in range(ORDERS)}
+    orders = [f'"order {k << 18}"' for k in range(ORDERS)]
+    found = "".join(r.body for r in rows)
+    assert all(found.count(order) == 1 for order in orders)
+
+
+def test_slices_of_a_span_share_a_task(spark, sold):
+    placed = A.dealt(spark, sold, A.sales(spark, sold), "c_mktsegment", "n_name")
+    placed = placed.withColumn("task", F.spark_partition_id())
+    tasks = placed.groupBy("c_mktsegment", "n_name", "span").agg(
+        F.count_distinct("task").alias("tasks"), F.count_distinct("slice").alias("slices")
+    )
+    assert {(r.tasks, r.slices) for r in tasks.collect()} == {(1, 4)}
