@@ -114,7 +114,7 @@ def sold(spark, tmp_path):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("bodies", [A.service_bodies])
+@pytest.mark.parametrize("bodies", [A.service_bodies, A.plan_bodies])
 def test_landing_tasks_follow_the_orders(spark, sold, monkeypatch, bodies):
     """More orders are more tasks, of narrow rows; every order stays in one slice."""
     monkeypatch.setattr(A, "TASK_ORDERS", 10)
@@ -126,6 +126,8 @@ def test_landing_tasks_follow_the_orders(spark, sold, monkeypatch, bodies):
     assert len({(r.offer_url, r.slice) for r in rows}) == len(rows)
     assert {r.slice for r in rows} == {k << 2 for k in range(ORDERS)}
     orders = [f'"order {k << 18}"' for k in range(ORDERS)]
+    if bodies is A.plan_bodies:
+        orders = [f'"RC{k << 18}"' for k in range(ORDERS)]
     found = "".join(r.body for r in rows)
     assert all(found.count(order) == 1 for order in orders)
 
