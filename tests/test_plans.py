@@ -1,6 +1,6 @@
 """What the physical plans must look like to hold at scale."""
 
-from datetime import timedelta
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -139,3 +139,21 @@ def test_slices_of_a_span_share_a_task(spark, sold):
         F.count_distinct("task").alias("tasks"), F.count_distinct("slice").alias("slices")
     )
     assert {(r.tasks, r.slices) for r in tasks.collect()} == {(1, 4)}
+
+
+def test_history_tasks_follow_the_events(spark, tmp_path, monkeypatch):
+    """One day and one type of events is spread, too."""
+    monkeypatch.setattr(A, "TASK_EVENTS", 10)
+    noon = datetime(2024, 1, 5, 12)
+    rows = [(k, noon, 7, "view", Decimal(k), f'{{"k": {k}}}') for k in range(400)]
+    schema = (
+        "event_id long, ts timestamp, user_id long, event_type string, "
+        "value decimal(18,2), props string"
+    )
+    events = spark.createDataFrame(rows, schema)
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    history = A.history_book(spark, str(tmp_path)).read_history(on=date(2024, 1, 5))
+    assert len(history.inputFiles()) == 40
+    by_file = history.groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in by_file) <= 20
+    assert sorted(r.rate_code for r in history.collect()) == sorted(f"E{k}" for k in range(400))
