@@ -11,6 +11,7 @@ from ratebook.catalogue import adapters as A
 from ratebook.catalogue import discovery, documents, snapshots
 from ratebook.operators import compose
 from ratebook.plans import load
+from ratebook.session import sized_shuffles
 
 SF = f"{check.TESTDATA}/sf0.001"
 
@@ -157,3 +158,9 @@ def test_history_tasks_follow_the_events(spark, tmp_path, monkeypatch):
     by_file = history.groupBy(F.input_file_name()).count().collect()
     assert max(r["count"] for r in by_file) <= 20
     assert sorted(r.rate_code for r in history.collect()) == sorted(f"E{k}" for k in range(400))
+
+
+def test_shuffles_widen_with_the_input(spark):
+    with sized_shuffles(spark, 1 << 30):
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= 32
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"
