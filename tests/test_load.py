@@ -7,6 +7,7 @@ from pathlib import Path
 from uuid import uuid4
 
 import docs
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -566,6 +567,22 @@ def test_work_of_a_load_is_removed(book, catalogue):
     assert book.files.names(f"{book.location}/data/work") == []
 
 
+def test_rows_are_written_small(spark, book, catalogue, monkeypatch):
+    """Twice, with the denser codec; what is staged in row groups that tasks can share."""
+    monkeypatch.setattr("ratebook.plans.load.DEALT_BYTES", 1 << 14)
+    monkeypatch.setattr(book.files, "remove", lambda path: None)
+    catalogue.offer("A", "r1", "v1", docs.priced(1, n=5000))
+    assert counts(load(book, catalogue, DAY1)) == (5000, 1, 0)
+    for kind in ("work/*/fresh", "history/*/service_code=A"):
+        files = list(Path(book.location).glob(f"data/{kind}/*.parquet"))
+        found = [pq.ParquetFile(f).metadata for f in files]
+        assert sum(m.num_rows for m in found) == 5000
+        groups = [m.row_group(k) for m in found for k in range(m.num_row_groups)]
+        assert {g.column(0).compression for g in groups} == {"ZSTD"}
+        if "fresh" in kind:
+            assert max(g.num_rows for g in groups) <= 2500
+
+
 def test_mandatory_parameters(spark, book, catalogue):
     landing = catalogue.landing()
     landing.service_offers = ""

@@ -2,7 +2,9 @@
 
 from datetime import date, datetime, timedelta
 from decimal import Decimal
+from pathlib import Path
 
+import docs
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from ratebook.catalogue import discovery, documents, snapshots
 from ratebook.operators import compose
 from ratebook.plans import load
 from ratebook.session import sized_shuffles
+from ratebook.sources import offers
+from ratebook.sources.book import PriceBook
 
 SF = f"{check.TESTDATA}/sf0.001"
 
@@ -164,3 +168,60 @@ def test_shuffles_widen_with_the_input(spark):
     with sized_shuffles(spark, 1 << 30):
         assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= 32
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"
+
+
+def test_load_lands_compressed_documents(spark, sold):
+    """The same documents in a small part of their bytes."""
+    for land, make in (
+        (A.landed_load_services, A.service_bodies),
+        (A.landed_load_plans, A.plan_bodies),
+    ):
+        root = Path(land(spark, sold))
+        files = list(root.rglob("part-*"))
+        assert files and all(f.name.endswith(".txt.gz") for f in files)
+        bodies = [r.body for r in make(spark, sold).collect() if "SHELL" not in r.offer_url]
+        assert sorted(r.value for r in spark.read.text(str(root)).collect()) == sorted(bodies)
+        assert sum(f.stat().st_size for f in files) < sum(map(len, bodies)) / 3
+
+
+def test_versions_on_offer_take_one_pass(spark, sold, monkeypatch):
+    """All sales are joined once for the versions, and once for each kind of document."""
+    passes, sales = [], A.sales
+    monkeypatch.setattr(A, "sales", lambda *args: passes.append(args) or sales(*args))
+    landing = A.landing(spark, sold)
+    assert len(passes) == 3
+    newest = (ORDERS - 1) << 18
+    found = {r.offer_url for r in spark.read.text(landing.service_offers).collect()}
+    assert found == {f"{A.BASE_URL}/offers/v1.0/BUILDING/v{newest}/NATION_3/index.json"}
+    # Two customers have a plan each.
+    found = {r.offer_url.split("/")[-3] for r in spark.read.text(landing.plan_offers).collect()}
+    assert found == {f"p{newest}", f"p{newest - (1 << 18)}"}
+
+
+def test_compressed_documents_count_as_unfolded(spark, tmp_path):
+    """So a shuffle is as wide for a compressed landing."""
+    text = "".join(f'{{"a": {k}}}\n' for k in range(1000)).encode()
+    docs.land_document(tmp_path, "plain", text)
+    docs.land_document(tmp_path, "zipped", text, zipped=True)
+    found = {r.offer_url: r.bytes for r in offers.landed_documents(spark, str(tmp_path)).collect()}
+    zipped = (tmp_path / "offer_url=zipped/doc.json.gz").stat().st_size
+    assert found == {"plain": len(text), "zipped": zipped * offers.GZIP_RATIO}
+
+
+def test_history_is_dealt_by_narrow_tasks(spark, tmp_path):
+    """What a task holds for the shuffle does not grow with the files for each core."""
+    book = PriceBook(spark, f"narrow_{tmp_path.name}", str(tmp_path / "book"))
+    book.provision()
+    day = date(2024, 1, 5)
+    rows = docs.history_rows(spark, day, [("A", f"r{k}") for k in range(96)])
+    path = str(tmp_path / "rows")
+    rows.write.option("maxRecordsPerFile", 1).parquet(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    fresh = spark.read.schema(rows.schema).parquet(path)
+    fresh = fresh.withColumn("description", F.spark_partition_id().cast("string"))
+    changed = A.written_keys(rows.select("service_code", "region_code"), str(tmp_path / "pairs"))
+    parts = book.compose_day(None, day, fresh, changed.frame)
+    dealt = [r.description for r in book.written_rows(parts).collect()]
+    # A file counts as 4 MB at least, and a task has 8 MB.
+    assert len(dealt) == 96 and max(map(dealt.count, dealt)) <= 2
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
